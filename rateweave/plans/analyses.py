@@ -34,9 +34,11 @@ def _cohort_users(users: DataFrame, age: str) -> DataFrame:
 # --- joins -----------------------------------------------------------------
 
 
-def ratings_with_users(t: Tables) -> DataFrame:
+def ratings_with_users(t: Tables, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Every rating with its rater's gender and age band (inner join)."""
-    return t.ratings.join(t.users, "UserID").select("UserID", "MovieID", "Rating", "Gender", "Age")
+    profiles = t.users.select("UserID", "Gender", "Age")
+    rated = join_dimension(t.ratings, profiles, "UserID", max_broadcast_rows=max_broadcast_rows)
+    return rated.select("UserID", "MovieID", "Rating", "Gender", "Age")
 
 
 def users_with_occupations(t: Tables, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -47,20 +49,20 @@ def movie_viewers(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int = DEFA
     """Profile (gender, age band, occupation) of everyone who rated ``movie``.
 
     The movie filter reaches the ratings scan.  One movie may hold a large
-    share of all ratings, so its raters are never assumed small: the user
-    join is left to the planner, and only the occupation list is broadcast,
-    after its size check.
+    share of all ratings, so its raters are never assumed small: it is the
+    user and occupation lists that are broadcast, each after its size check.
     """
     raters = where_equals(t.ratings, "MovieID", movie).select("UserID")
-    profiles = raters.join(t.users, "UserID")
+    profiles = join_dimension(raters, t.users, "UserID", max_broadcast_rows=max_broadcast_rows)
     named = join_dimension(profiles, t.occupations, "OccupationID", max_broadcast_rows=max_broadcast_rows)
     return named.select("UserID", "Gender", "Age", "OccupationName")
 
 
-def demographics(t: Tables, movie=DEFAULT_MOVIE) -> DataFrame:
+def demographics(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Head-count of the raters of ``movie`` by gender and age band."""
     raters = where_equals(t.ratings, "MovieID", movie).select("UserID")
-    return count_by(raters.join(t.users, "UserID"), ["Gender", "Age"])
+    profiles = t.users.select("UserID", "Gender", "Age")
+    return count_by(join_dimension(raters, profiles, "UserID", max_broadcast_rows=max_broadcast_rows), ["Gender", "Age"])
 
 
 # --- averages and counts ---------------------------------------------------
@@ -96,6 +98,7 @@ def top_rated_by_gender(
     *,
     suffix: bool = False,
     string_id_desc: bool = False,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Best average among ratings by one gender.
 
@@ -103,14 +106,16 @@ def top_rated_by_gender(
     ``string_id_desc`` breaks ties by MovieID as text descending instead of
     by MovieID ascending.
     """
-    rated = t.ratings.join(_gender_users(t.users, gender, suffix), "UserID")
+    raters = _gender_users(t.users, gender, suffix)
+    rated = join_dimension(t.ratings, raters, "UserID", max_broadcast_rows=max_broadcast_rows)
     tie = as_string_id("MovieID").desc() if string_id_desc else F.col("MovieID").asc()
     return top_k(avg_by(rated, "MovieID"), [F.col("avg_rating").desc(), tie], k)
 
 
-def top_rated_per_gender(t: Tables, k: int = DEFAULT_K) -> DataFrame:
+def top_rated_per_gender(t: Tables, k: int = DEFAULT_K, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """The same ranking for every gender at once: one pass, one top-k per group."""
-    rated = t.ratings.join(t.users.select("UserID", "Gender"), "UserID")
+    genders = t.users.select("UserID", "Gender")
+    rated = join_dimension(t.ratings, genders, "UserID", max_broadcast_rows=max_broadcast_rows)
     averages = avg_by(rated, ["Gender", "MovieID"])
     ranked = top_k_per_group(averages, "Gender", [F.col("avg_rating").desc(), F.col("MovieID").asc()], k)
     return ranked.select("Gender", "MovieID", "avg_rating", F.col("rank").cast("int").alias("rank"))
@@ -119,14 +124,15 @@ def top_rated_per_gender(t: Tables, k: int = DEFAULT_K) -> DataFrame:
 # --- age cohorts -----------------------------------------------------------
 
 
-def cohort_top_titles(t: Tables, age: str, k: int = DEFAULT_K) -> DataFrame:
+def cohort_top_titles(t: Tables, age: str, k: int = DEFAULT_K, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Most-rated titles in an age band: count per movie, then the titles.
 
     Inner joins throughout, so a user listed twice counts twice and a movie
     without a title drops out before the cut.  Counting first means the
     title join sees one row per movie, not one per rating.
     """
-    rated = t.ratings.join(where_equals(t.users, "Age", age), "UserID")
+    cohort = _cohort_users(t.users, age)
+    rated = join_dimension(t.ratings, cohort, "UserID", max_broadcast_rows=max_broadcast_rows)
     counted = count_by(rated, "MovieID").join(t.movies, "MovieID")
     return top_k(counted, [F.col("cnt").desc(), F.col("MovieID").asc()], k).select("Title", "cnt")
 
