@@ -68,3 +68,21 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, never-used location under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``total_cores`` task slots.
+
+    Scans split files into ``target_partition_bytes`` pieces; shuffles start
+    from enough partitions that no reducer holds more than about that much
+    (assuming a shuffle no larger than the input), in whole waves of the
+    slots, and adaptive execution coalesces what turns out smaller.
+    """
+    pieces = max(1, -(-input_bytes // target_partition_bytes))
+    waves = max(1, -(-pieces // max(1, total_cores)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(waves * max(1, total_cores)),
+        "spark.sql.shuffle.partitions": str(waves * max(1, total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+    }

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rateweave import schemas
 from rateweave.functions.bands import acctbal_band
@@ -35,16 +36,28 @@ class Tables:
     occupations: DataFrame
 
 
+# The columns the adapter reads, with their Parquet types.  Declaring them
+# skips schema inference (a footer read on the driver per table) and makes a
+# changed type fail loudly at the scan instead of deep inside a query.
+SOURCE_COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_type string",
+    "nation": "n_nationkey int, n_name string",
+}
+
+
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     base = sf_dir.rstrip("/")
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{base}/{name}.parquet")
+        return spark.read.schema(StructType.fromDDL(SOURCE_COLUMNS[name])).parquet(f"{base}/{name}.parquet")
 
     lineitem, orders = read("lineitem"), read("orders")
-    # An inner equi-join on the order key: no key holds more than a handful
-    # of lines, so the shuffle join (or broadcast, when the planner measures
-    # orders small) spreads evenly.
+    # An inner equi-join on the order key, planned by size: broadcast while
+    # orders is measured small, else a sort-merge join whose hot keys, if
+    # any, adaptive execution splits.
     ratings = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("UserID"),
         F.col("l_partkey").alias("MovieID"),

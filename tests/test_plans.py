@@ -98,3 +98,15 @@ def test_no_python_no_cartesian_in_any_registered_query(spark):
         text = plan_text(fn(spark, SF01))
         for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in text, (name, bad)
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", SF01, "/root/testdata/sf0.1"])
+def test_declared_source_columns_match_the_files(spark, sf_dir):
+    from pyspark.sql.types import StructType
+
+    from rateweave.sources.tables import SOURCE_COLUMNS
+
+    for name, ddl in SOURCE_COLUMNS.items():
+        actual = {f.name: f.dataType for f in spark.read.parquet(f"{sf_dir}/{name}.parquet").schema.fields}
+        for field in StructType.fromDDL(ddl).fields:
+            assert actual[field.name] == field.dataType, (sf_dir, name, field.name)
