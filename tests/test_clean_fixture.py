@@ -95,3 +95,22 @@ def test_per_gender_window_equals_two_filters(clean_tables):
         assert window == filtered
     ranks = rows(per_gender.where(F.col("Gender") == "M"), "rank", "MovieID")
     assert ranks == [(1, "20"), (2, "10"), (3, "30")]
+
+
+def test_sql_spellings_leave_no_views_and_global_views_cross_sessions(spark, clean_tables):
+    def views():
+        return {v.name for v in spark.catalog.listTables()} | {v.name for v in spark.catalog.listTables("global_temp")}
+
+    before = views()
+    df = sql.demographics_sql(spark, clean_tables, 10, scope="global")
+    local = sql.demographics_sql(spark, clean_tables, 10, scope="local")
+    assert views() == before
+    assert df.count() == 3 and local.count() == 3
+    names = sql.register_views(spark, clean_tables, scope="global")
+    other = spark.newSession()
+    assert other.sql(f"SELECT count(*) AS n FROM {names['ratings']}").first()["n"] == 7
+    mine = sql.register_views(spark, clean_tables, scope="local", suffix="_mine")
+    assert "rw_ratings_mine" not in {v.name for v in other.catalog.listTables()}
+    sql.drop_views(spark, names, "global")
+    sql.drop_views(spark, mine, "local")
+    assert views() == before
