@@ -10,9 +10,13 @@ partitions (one hot UserID, say) it splits into advisory-size pieces.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+log = logging.getLogger("rateweave")
+
 # Largest side, in rows, that is broadcast after a count.  A key set of a
 # million longs is a hashed relation of a few tens of MB on every executor.
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -24,9 +28,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     The check is an exact distributed count (partial counts per task, one
     number to the driver), run once when the plan is built.
     """
-    if max_rows <= 0:
-        return df
-    return F.broadcast(df) if df.count() <= max_rows else df
+    if max_rows > 0 and df.count() <= max_rows:
+        return F.broadcast(df)
+    _check_skew_handling(df)
+    return df
+
+
+def _check_skew_handling(df: DataFrame) -> None:
+    """A shuffle join relies on adaptive execution to split hot keys."""
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    skew = conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true"
+    if not (adaptive and skew):
+        log.warning(
+            "shuffle join without adaptive skew handling: a hot key will land in one task; "
+            "enable spark.sql.adaptive.enabled and spark.sql.adaptive.skewJoin.enabled"
+        )
 
 
 def join_dimension(
