@@ -48,19 +48,20 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can see, taken from ``spark.checkpoint.dir``.
 
     A local-mode session without the setting (tests, the bench) gets a fresh
-    scratch folder; a cluster session without it is an error, because a
+    scratch folder; any other session without it is an error, because a
     machine-local folder would lose data with its executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no local context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        return configured
+    if sc is None or not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="rateweave-shared-"))
     return sc.getCheckpointDir()
 

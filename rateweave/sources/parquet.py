@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rateweave.sources.delimited import accepted, rejected
 from rateweave.sources.tables import Tables, load_dat_tables
 
 
@@ -40,7 +41,12 @@ def convert_to_parquet(spark: SparkSession, base_dir: str, out_dir: str, *, mode
     """Parse the four ``::`` files once and store them as Parquet under ``out_dir``.
 
     Ratings are clustered by MovieID inside each file, the key of the most
-    selective lookups.  Returns the tables read back from Parquet.
+    selective lookups.  In permissive mode the rejected lines, with their
+    reason, go to ``_rejects/<relation>`` beside the tables.  Returns the
+    tables read back from Parquet.
+
+    ``.dat`` files compressed with a non-splittable codec (gzip) are read one
+    task per file; keep large inputs uncompressed or splittable.
     """
     tables = load_dat_tables(spark, base_dir, mode=mode)
     out = out_dir.rstrip("/")
@@ -49,7 +55,8 @@ def convert_to_parquet(spark: SparkSession, base_dir: str, out_dir: str, *, mode
     for name in ("ratings", "users", "movies", "occupations"):
         frame = getattr(tables, name)
         if mode == "permissive":
-            frame = frame.where("_reject IS NULL").drop("_reject")
+            write_parquet(rejected(frame), f"{out}/_rejects/{name}")
+            frame = accepted(frame)
         path = write_parquet(frame, f"{out}/{name}", sort_within=layout.get(name))
         result[name] = read_parquet(spark, path)
     return Tables(**result)

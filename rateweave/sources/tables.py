@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from rateweave import schemas
 from rateweave.functions.bands import acctbal_band
-from rateweave.sources.delimited import read_delimited
+from rateweave.sources.delimited import accepted, read_delimited
 
 
 @dataclass(frozen=True)
@@ -118,3 +118,8 @@ def load_dat_tables(
             seq_col=movie_seq if name == "movies" else None,
         )
     return Tables(**frames)
+
+
+def accepted_tables(t: Tables) -> Tables:
+    """The good rows of permissively loaded tables (``_reject`` removed)."""
+    return Tables(*(accepted(getattr(t, name)) for name in DAT_FILES))

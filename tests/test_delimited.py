@@ -107,3 +107,16 @@ def test_convert_to_parquet(spark, tmp_path):
     assert tables.ratings.count() == len(CLEAN["ratings.dat"])
     assert tables.ratings.schema == schemas.RATINGS
     assert rows(tables.occupations) == [("4", "student"), ("7", "manager"), ("9", "homemaker")]
+
+
+def test_permissive_conversion_keeps_rejects_aside(spark, tmp_path):
+    from rateweave.sources.tables import accepted_tables, load_dat_tables
+
+    files = {**CLEAN, "ratings.dat": CLEAN["ratings.dat"] + ["9::10::five::1", "9::10"]}
+    folder = write_dat(tmp_path / "dirty", files)
+    tables = convert_to_parquet(spark, folder, str(tmp_path / "pq"), mode="permissive")
+    assert tables.ratings.count() == len(CLEAN["ratings.dat"])
+    bad = spark.read.parquet(str(tmp_path / "pq" / "_rejects" / "ratings"))
+    assert sorted(r["_reject"] for r in bad.collect()) == ["bad value: Rating", "expected 4 fields"]
+    clean = accepted_tables(load_dat_tables(spark, folder, mode="permissive"))
+    assert "_reject" not in clean.ratings.columns and clean.ratings.count() == len(CLEAN["ratings.dat"])
