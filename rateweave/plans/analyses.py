@@ -62,7 +62,8 @@ def demographics(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int = DEFAU
     """Head-count of the raters of ``movie`` by gender and age band."""
     raters = where_equals(t.ratings, "MovieID", movie).select("UserID")
     profiles = t.users.select("UserID", "Gender", "Age")
-    return count_by(join_dimension(raters, profiles, "UserID", max_broadcast_rows=max_broadcast_rows), ["Gender", "Age"])
+    rated = join_dimension(raters, profiles, "UserID", max_broadcast_rows=max_broadcast_rows)
+    return count_by(rated, ["Gender", "Age"])
 
 
 # --- averages and counts ---------------------------------------------------
@@ -124,7 +125,9 @@ def top_rated_per_gender(t: Tables, k: int = DEFAULT_K, max_broadcast_rows: int
 # --- age cohorts -----------------------------------------------------------
 
 
-def cohort_top_titles(t: Tables, age: str, k: int = DEFAULT_K, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def cohort_top_titles(
+    t: Tables, age: str, k: int = DEFAULT_K, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+) -> DataFrame:
     """Most-rated titles in an age band: count per movie, then the titles.
 
     Inner joins throughout, so a user listed twice counts twice and a movie

@@ -93,7 +93,8 @@ def parse_lines(
     casts = []
     for i, field in enumerate(schema.fields):
         text = F.col(f"_f{i}")
-        casts.append((text if isinstance(field.dataType, StringType) else text.try_cast(field.dataType)).alias(f"_v{i}"))
+        value = text if isinstance(field.dataType, StringType) else text.try_cast(field.dataType)
+        casts.append(value.alias(f"_v{i}"))
     staged = staged.select(*carried, "_line", "_short", *[f"_f{i}" for i in range(width)], *casts)
 
     short = F.col("_short")

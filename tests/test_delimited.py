@@ -34,7 +34,8 @@ def test_short_row_permissive_rejects(spark, tmp_path):
     df = _read(spark, tmp_path, "users", ["1::F::18::4::1", "6::M::18"], schemas.USERS, mode="permissive")
     assert rows(accepted(df)) == [("1", "F", "18", "4", "1")]
     bad = rejected(df).collect()
-    assert [(r["UserID"], r["Age"], r["OccupationID"], r["_reject"]) for r in bad] == [("6", "18", None, "expected 5 fields")]
+    got = [(r["UserID"], r["Age"], r["OccupationID"], r["_reject"]) for r in bad]
+    assert got == [("6", "18", None, "expected 5 fields")]
 
 
 def test_extra_field_is_ignored(spark, tmp_path):
@@ -82,7 +83,8 @@ def test_separator_runs_split_left_to_right(spark, tmp_path):
 
 
 def test_last_line_without_newline(spark, tmp_path):
-    folder = write_dat(tmp_path / "occ", {"occupations.dat": ["0::other", "1::academic/educator"]}, newline_at_end=False)
+    lines = ["0::other", "1::academic/educator"]
+    folder = write_dat(tmp_path / "occ", {"occupations.dat": lines}, newline_at_end=False)
     df = read_delimited(spark, f"{folder}/occupations.dat", schemas.OCCUPATIONS)
     assert rows(df) == [("0", "other"), ("1", "academic/educator")]
 
