@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rateweave.schemas import DECLARED
 from rateweave.sources.delimited import accepted, rejected
 from rateweave.sources.tables import Tables, load_dat_tables
 
+RELATIONS = ("ratings", "users", "movies", "occupations")
+
 
 def write_parquet(
     df: DataFrame,
@@ -51,12 +54,16 @@ def convert_to_parquet(spark: SparkSession, base_dir: str, out_dir: str, *, mode
     tables = load_dat_tables(spark, base_dir, mode=mode)
     out = out_dir.rstrip("/")
     layout = {"ratings": ["MovieID"]}
-    result = {}
-    for name in ("ratings", "users", "movies", "occupations"):
+    for name in RELATIONS:
         frame = getattr(tables, name)
         if mode == "permissive":
             write_parquet(rejected(frame), f"{out}/_rejects/{name}")
             frame = accepted(frame)
-        path = write_parquet(frame, f"{out}/{name}", sort_within=layout.get(name))
-        result[name] = read_parquet(spark, path)
-    return Tables(**result)
+        write_parquet(frame, f"{out}/{name}", sort_within=layout.get(name))
+    return load_converted(spark, out)
+
+
+def load_converted(spark: SparkSession, out_dir: str) -> Tables:
+    """The four relations as ``convert_to_parquet`` stored them, under their declared schemas."""
+    out = out_dir.rstrip("/")
+    return Tables(*(spark.read.schema(DECLARED[name]).parquet(f"{out}/{name}") for name in RELATIONS))

@@ -22,3 +22,15 @@ def test_report_over_dat_files(tmp_path):
     assert "== cohort_top_titles_18" in out.stdout
     assert "|Alpha (1990)|2  |" in out.stdout
     assert "== latest_reviews" in out.stdout
+
+
+def test_convert_then_query_the_parquet_copy(tmp_path):
+    folder = write_dat(tmp_path / "dat", CLEAN)
+    out = str(tmp_path / "pq")
+    base = [sys.executable, "-m", "rateweave", "--master", "local[2]"]
+    step = subprocess.run(base + ["--dat", folder, "convert", "--out", out], cwd=REPO, capture_output=True, text=True)
+    assert step.returncode == 0, step.stderr[-2000:]
+    assert "wrote 7 ratings" in step.stdout
+    shown = subprocess.run(base + ["--converted", out, "most_popular"], cwd=REPO, capture_output=True, text=True)
+    assert shown.returncode == 0, shown.stderr[-2000:]
+    assert "|10     |3  |" in shown.stdout
