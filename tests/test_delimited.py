@@ -122,3 +122,15 @@ def test_permissive_conversion_keeps_rejects_aside(spark, tmp_path):
     assert sorted(r["_reject"] for r in bad.collect()) == ["bad value: Rating", "expected 4 fields"]
     clean = accepted_tables(load_dat_tables(spark, folder, mode="permissive"))
     assert "_reject" not in clean.ratings.columns and clean.ratings.count() == len(CLEAN["ratings.dat"])
+
+
+def test_strict_mode_does_not_depend_on_ansi(spark, tmp_path):
+    from tests.test_plans import conf
+
+    with conf(spark, spark__sql__ansi__enabled="false"):
+        df = _read(spark, tmp_path, "ratings", ["1::10::five::1000"], schemas.RATINGS)
+        with pytest.raises(ERRORS, match="Rating is not a double"):
+            df.collect()
+        short = _read(spark, tmp_path, "users", ["6::M::18"], schemas.USERS)
+        with pytest.raises(ERRORS, match="expected 5 fields"):
+            short.collect()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rateweave.operators import count_by
 from rateweave.plans import analyses as A
 from rateweave.plans import plan_text
 from rateweave.sources.tables import Tables
@@ -54,3 +55,22 @@ def test_hot_movie_counts_combine_before_the_shuffle(spark):
     top = A.most_popular(skewed, 1).collect()
     assert (top[0]["MovieID"], top[0]["cnt"]) == (7, hot.where("MovieID = 7").count())
     assert "partial_count" in plan_text(A.most_popular(skewed, 1))
+
+
+def test_hot_user_semi_join_is_split_too(spark):
+    t = _skewed(spark)
+    expected = rows(count_by(A.cohort_ratings(t, "18"), "MovieID"))
+    settings = {
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "256k",
+        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64k",
+        "spark__sql__adaptive__coalescePartitions__enabled": "false",
+    }
+    with conf(spark, **settings):
+        df = count_by(A.cohort_ratings(t, "18", max_broadcast_rows=0), "MovieID")
+        got = rows(df)
+        text = plan_text(df)
+    assert got == expected
+    assert sum(cnt for _, cnt in got) == t.ratings.where(F.col("UserID") % 3 == 0).count()
+    assert "SortMergeJoin(skew=true) LeftSemi" in text
