@@ -3,7 +3,9 @@
 from rateweave.operators.aggregates import avg_by, count_by, distinct_values, last_wins
 from rateweave.operators.filters import where_between_exclusive, where_equals, where_sql, where_suffix
 from rateweave.operators.joins import (
+    BROADCAST_ROWS_CONF,
     DEFAULT_BROADCAST_ROWS,
+    broadcast_bound,
     broadcast_if_small,
     join_dimension,
     lookup_after_top,
@@ -13,8 +15,10 @@ from rateweave.operators.project import project, rating_pairs, sample_rows
 from rateweave.operators.topk import latest, top_k, top_k_per_group
 
 __all__ = [
+    "BROADCAST_ROWS_CONF",
     "DEFAULT_BROADCAST_ROWS",
     "avg_by",
+    "broadcast_bound",
     "broadcast_if_small",
     "count_by",
     "distinct_values",

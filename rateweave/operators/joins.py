@@ -19,15 +19,25 @@ log = logging.getLogger("rateweave")
 
 # Largest side, in rows, that is broadcast after a count.  A key set of a
 # million longs is a hashed relation of a few tens of MB on every executor.
+# A session can set its own bound (executor memory differs per cluster).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS_CONF = "rateweave.broadcast.maxRows"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``df`` hinted for broadcast when it holds at most ``max_rows`` rows.
+def broadcast_bound(df: DataFrame) -> int:
+    """The session's broadcast bound in rows."""
+    return int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``df`` hinted for broadcast when it holds at most ``max_rows`` rows
+    (default: the session's bound).
 
     The check is an exact distributed count (partial counts per task, one
     number to the driver), run once when the plan is built.
     """
+    if max_rows is None:
+        max_rows = broadcast_bound(df)
     if max_rows > 0 and df.count() <= max_rows:
         return F.broadcast(df)
     _check_skew_handling(df)
@@ -53,13 +63,16 @@ def join_dimension(
     how: str = "inner",
     *,
     max_broadcast_rows: int | None = None,
+    size_check: bool = True,
 ) -> DataFrame:
     """``fact`` joined with a dimension on shared column names (one key column out).
 
-    With ``max_broadcast_rows`` the dimension is counted and broadcast when it
-    fits; otherwise the planner chooses from its size estimate.
+    The dimension is counted and broadcast when it fits the bound
+    (``max_broadcast_rows``, default the session's); without ``size_check``,
+    or for join types that cannot build on the right, the planner chooses
+    from its size estimate.
     """
-    if max_broadcast_rows is not None and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+    if size_check and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         dim = broadcast_if_small(dim, max_broadcast_rows)
     return fact.join(dim, on, how)
 
@@ -69,7 +82,7 @@ def semi_join(
     keys: DataFrame,
     key: str,
     *,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Rows of ``fact`` whose ``key`` occurs in ``keys`` (set membership).
 

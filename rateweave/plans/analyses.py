@@ -14,7 +14,7 @@ from rateweave.functions.bands import age_label
 from rateweave.functions.ordering import as_string_id
 from rateweave.operators.aggregates import avg_by, count_by, distinct_values, last_wins
 from rateweave.operators.filters import where_equals, where_suffix
-from rateweave.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension, lookup_after_top, semi_join
+from rateweave.operators.joins import join_dimension, lookup_after_top, semi_join
 from rateweave.operators.topk import latest, top_k, top_k_per_group
 from rateweave.sources.tables import Tables
 
@@ -34,18 +34,18 @@ def _cohort_users(users: DataFrame, age: str) -> DataFrame:
 # --- joins -----------------------------------------------------------------
 
 
-def ratings_with_users(t: Tables, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def ratings_with_users(t: Tables, max_broadcast_rows: int | None = None) -> DataFrame:
     """Every rating with its rater's gender and age band (inner join)."""
     profiles = t.users.select("UserID", "Gender", "Age")
     rated = join_dimension(t.ratings, profiles, "UserID", max_broadcast_rows=max_broadcast_rows)
     return rated.select("UserID", "MovieID", "Rating", "Gender", "Age")
 
 
-def users_with_occupations(t: Tables, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def users_with_occupations(t: Tables, max_broadcast_rows: int | None = None) -> DataFrame:
     return join_dimension(t.users, t.occupations, "OccupationID", max_broadcast_rows=max_broadcast_rows)
 
 
-def movie_viewers(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def movie_viewers(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int | None = None) -> DataFrame:
     """Profile (gender, age band, occupation) of everyone who rated ``movie``.
 
     The movie filter reaches the ratings scan.  One movie may hold a large
@@ -58,7 +58,7 @@ def movie_viewers(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int = DEFA
     return named.select("UserID", "Gender", "Age", "OccupationName")
 
 
-def demographics(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def demographics(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int | None = None) -> DataFrame:
     """Head-count of the raters of ``movie`` by gender and age band."""
     raters = where_equals(t.ratings, "MovieID", movie).select("UserID")
     profiles = t.users.select("UserID", "Gender", "Age")
@@ -99,7 +99,7 @@ def top_rated_by_gender(
     *,
     suffix: bool = False,
     string_id_desc: bool = False,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Best average among ratings by one gender.
 
@@ -113,7 +113,7 @@ def top_rated_by_gender(
     return top_k(avg_by(rated, "MovieID"), [F.col("avg_rating").desc(), tie], k)
 
 
-def top_rated_per_gender(t: Tables, k: int = DEFAULT_K, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def top_rated_per_gender(t: Tables, k: int = DEFAULT_K, max_broadcast_rows: int | None = None) -> DataFrame:
     """The same ranking for every gender at once: one pass, one top-k per group."""
     genders = t.users.select("UserID", "Gender")
     rated = join_dimension(t.ratings, genders, "UserID", max_broadcast_rows=max_broadcast_rows)
@@ -126,7 +126,7 @@ def top_rated_per_gender(t: Tables, k: int = DEFAULT_K, max_broadcast_rows: int
 
 
 def cohort_top_titles(
-    t: Tables, age: str, k: int = DEFAULT_K, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    t: Tables, age: str, k: int = DEFAULT_K, max_broadcast_rows: int | None = None
 ) -> DataFrame:
     """Most-rated titles in an age band: count per movie, then the titles.
 
@@ -146,7 +146,7 @@ def cohort_top_movies_semi(
     k: int = DEFAULT_K,
     *,
     seq: str | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Most-rated movies in an age band by set membership, titles looked up last.
 
@@ -159,7 +159,7 @@ def cohort_top_movies_semi(
     return lookup_after_top(top, t.movies, "MovieID", "Title", seq=seq).select("MovieID", "cnt", "Title")
 
 
-def cohort_ratings(t: Tables, age: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def cohort_ratings(t: Tables, age: str, max_broadcast_rows: int | None = None) -> DataFrame:
     """Ratings given by the users of one age band."""
     return semi_join(t.ratings, _cohort_users(t.users, age), "UserID", max_broadcast_rows=max_broadcast_rows)
 

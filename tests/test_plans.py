@@ -130,3 +130,10 @@ def test_large_cohort_prefilters_ratings_before_the_shuffle(spark, tmp_path):
         semi = plan_text(A.cohort_ratings(tables, "18", max_broadcast_rows=0))
         assert "might_contain" in inner and "might_contain" in semi
         assert A.cohort_ratings(tables, "18", max_broadcast_rows=0).count() == 4
+
+
+def test_session_sets_the_broadcast_bound(spark, t):
+    with no_auto_broadcast(spark), conf(spark, rateweave__broadcast__maxRows="10"):
+        assert "BroadcastHashJoin LeftSemi" not in plan_text(A.cohort_ratings(t, "18"))
+    with no_auto_broadcast(spark):
+        assert "BroadcastHashJoin LeftSemi" in plan_text(A.cohort_ratings(t, "18"))
