@@ -61,3 +61,23 @@ def test_rankings_ignore_input_order(spark, data, rnd):
     spread = Tables(b.ratings.repartition(3), b.users, b.movies, b.occupations)
     a_top = [tuple(r) for r in A.cohort_top_movies_semi(a, "18").collect()]
     assert a_top == [tuple(r) for r in A.cohort_top_movies_semi(spread, "18").collect()]
+
+
+# Field texts the format can carry: no separator inside, no line breaks,
+# no ':' at either end (":::" splits left to right), no JVM whitespace at
+# the ends when trimming.
+_field = st.text(
+    alphabet=st.characters(blacklist_categories=("Cs",), blacklist_characters="\n\r"), max_size=12
+).filter(lambda s: "::" not in s and not s.startswith(":") and not s.endswith(":"))
+
+
+@COMMON
+@given(st.lists(st.tuples(_field, _field, _field), min_size=1, max_size=20), st.booleans())
+def test_lines_parse_back_to_their_fields(spark, records, trim):
+    from rateweave.sources.delimited import parse_lines, to_lines
+
+    if trim:
+        records = [tuple(f.strip("".join(chr(c) for c in range(0x21))) for f in r) for r in records]
+    frame = spark.createDataFrame(records, schema=schemas.MOVIES)
+    parsed = parse_lines(to_lines(frame), schemas.MOVIES, trim=trim)
+    assert sorted(tuple(r) for r in parsed.collect()) == sorted(records)
