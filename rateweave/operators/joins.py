@@ -98,17 +98,21 @@ def lookup_after_top(
     dim: DataFrame,
     key: str,
     value: str,
+    k: int,
     *,
     seq: str | None = None,
 ) -> DataFrame:
-    """Attach ``value`` from ``dim`` to the rows of a top-k, NULL when absent.
+    """Attach ``value`` from ``dim`` to the rows of a top-``k``, NULL when absent.
 
-    ``top`` must be bounded (the output of a top-k): its ids are broadcast
-    to cut ``dim`` down to the few rows wanted, so the dimension is scanned
-    but never shuffled.  Among duplicate keys in ``dim`` the row with the
-    highest ``seq`` wins (file order: the last one), else the greatest value.
+    ``top`` holds at most ``k`` rows (it is a top-k), so while ``k`` is within
+    the broadcast bound its ids are broadcast to cut ``dim`` down to the few
+    rows wanted: the dimension is scanned but never shuffled.  Among duplicate
+    keys in ``dim`` the row with the highest ``seq`` wins (file order: the
+    last one), else the greatest value.
     """
-    ids = F.broadcast(top.select(key))
+    ids = top.select(key)
+    if k <= broadcast_bound(top):
+        ids = F.broadcast(ids)
     candidates = dim.join(ids, key, "left_semi")
     order: Column = F.struct(F.col(seq), F.col(value)) if seq else F.col(value)
     chosen = candidates.groupBy(key).agg(F.max_by(F.col(value), order).alias(value))

@@ -156,7 +156,7 @@ def cohort_top_movies_semi(
     """
     rated = semi_join(t.ratings, _cohort_users(t.users, age), "UserID", max_broadcast_rows=max_broadcast_rows)
     top = top_k(count_by(rated, "MovieID"), [F.col("cnt").desc(), F.col("MovieID").asc()], k)
-    return lookup_after_top(top, t.movies, "MovieID", "Title", seq=seq).select("MovieID", "cnt", "Title")
+    return lookup_after_top(top, t.movies, "MovieID", "Title", k, seq=seq).select("MovieID", "cnt", "Title")
 
 
 def cohort_ratings(t: Tables, age: str, max_broadcast_rows: int | None = None) -> DataFrame:

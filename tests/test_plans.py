@@ -137,3 +137,12 @@ def test_session_sets_the_broadcast_bound(spark, t):
         assert "BroadcastHashJoin LeftSemi" not in plan_text(A.cohort_ratings(t, "18"))
     with no_auto_broadcast(spark):
         assert "BroadcastHashJoin LeftSemi" in plan_text(A.cohort_ratings(t, "18"))
+
+
+def test_top_ids_are_broadcast_only_within_the_bound(spark, t):
+    with no_auto_broadcast(spark), conf(spark, rateweave__broadcast__maxRows="100"):
+        text = plan_text(A.cohort_top_movies_semi(t, "18", k=10))
+        assert text.split("\n\n")[0].count("BroadcastHashJoin LeftSemi") == 1  # the ids; the cohort is over 100
+    with no_auto_broadcast(spark), conf(spark, rateweave__broadcast__maxRows="5"):
+        text = plan_text(A.cohort_top_movies_semi(t, "18", k=10))
+        assert "BroadcastHashJoin" not in text
