@@ -5,10 +5,13 @@ from rateweave.operators.filters import where_between_exclusive, where_equals, w
 from rateweave.operators.joins import (
     BROADCAST_ROWS_CONF,
     DEFAULT_BROADCAST_ROWS,
+    SALT_CONF,
     broadcast_bound,
     broadcast_if_small,
+    hot_keys,
     join_dimension,
     lookup_after_top,
+    salted_join,
     semi_join,
 )
 from rateweave.operators.project import project, rating_pairs, sample_rows
@@ -17,17 +20,20 @@ from rateweave.operators.topk import latest, top_k, top_k_per_group
 __all__ = [
     "BROADCAST_ROWS_CONF",
     "DEFAULT_BROADCAST_ROWS",
+    "SALT_CONF",
     "avg_by",
     "broadcast_bound",
     "broadcast_if_small",
     "count_by",
     "distinct_values",
+    "hot_keys",
     "join_dimension",
     "last_wins",
     "latest",
     "lookup_after_top",
     "project",
     "rating_pairs",
+    "salted_join",
     "sample_rows",
     "semi_join",
     "top_k",

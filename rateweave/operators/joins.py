@@ -2,21 +2,22 @@
 
 Broadcast policy.  A side is hinted for broadcast only when its size is
 bounded: either by construction (the ids of a top-k, at most k rows) or by
-an exact row count checked before the join is planned.  Anything larger is
-left to the planner: a sort-merge join, which Spark's adaptive execution
-turns into a broadcast join once the real size is known and whose skewed
-partitions (one hot UserID, say) it splits into advisory-size pieces.
+an exact row count checked before the join is planned.
+
+Hot keys.  A larger dimension is joined by a shuffle, and there one key
+holding a large share of the fact rows would land in a single task.  The
+shuffle path therefore salts hot keys (``salted_join``): keys whose
+estimated row count exceeds what one task should take are spread over
+several partitions, and the dimension rows of just those keys are
+replicated to meet them.  Spark's adaptive skew join, where enabled, can
+still split whatever remains uneven.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-log = logging.getLogger("rateweave")
-
 # Largest side, in rows, that is broadcast after a count.  A key set of a
 # million longs is a hashed relation of a few tens of MB on every executor.
 # A session can set its own bound (executor memory differs per cluster).
@@ -40,41 +41,116 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
         max_rows = broadcast_bound(df)
     if max_rows > 0 and df.count() <= max_rows:
         return F.broadcast(df)
-    _check_skew_handling(df)
     return df
 
 
-def _check_skew_handling(df: DataFrame) -> None:
-    """A shuffle join relies on adaptive execution to split hot keys."""
-    conf = df.sparkSession.conf
-    adaptive = conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-    skew = conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true"
-    if not (adaptive and skew):
-        log.warning(
-            "shuffle join without adaptive skew handling: a hot key will land in one task; "
-            "enable spark.sql.adaptive.enabled and spark.sql.adaptive.skewJoin.enabled"
-        )
+# Hot-key salting: a key is hot when its estimated rows exceed what one task
+# should take; the estimate comes from a seeded sample of the key column (one
+# row in ten thousand: a key at the threshold shows up about 200 times).
+HOT_KEY_ROWS = 2_000_000
+HOT_KEY_SAMPLE = 0.0001
+MAX_HOT_KEYS = 10_000
+SALT_CONF = "rateweave.skew.saltHotKeys"
+_BUILD_RIGHT = ("inner", "left", "left_outer", "left_semi", "left_anti")
+
+
+def hot_keys(
+    fact: DataFrame,
+    key: str,
+    *,
+    hot_rows: int = HOT_KEY_ROWS,
+    sample_fraction: float = HOT_KEY_SAMPLE,
+    max_keys: int = MAX_HOT_KEYS,
+    seed: int = 17,
+) -> DataFrame:
+    """Keys of ``fact`` estimated to hold at least ``hot_rows`` rows, with the
+    number of partitions (``_spread``) each should be spread over.
+
+    Only the key column is read for the estimate.  At most ``max_keys`` keys
+    are kept (the heaviest), so the result is bounded and broadcastable;
+    lighter keys simply join unsalted.
+    """
+    estimate = (
+        fact.select(key)
+        .where(F.col(key).isNotNull())
+        .sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+        .groupBy(key)
+        .agg((F.count(F.lit(1)) / F.lit(sample_fraction)).alias("_rows"))
+    )
+    heavy = estimate.where(F.col("_rows") >= F.lit(hot_rows))
+    top = heavy.orderBy(F.col("_rows").desc(), F.col(key)).limit(max_keys)
+    return top.select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_spread"))
+
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    how: str = "inner",
+    *,
+    hot_rows: int = HOT_KEY_ROWS,
+    sample_fraction: float = HOT_KEY_SAMPLE,
+    max_keys: int | None = None,
+) -> DataFrame:
+    """``fact.join(dim, key, how)`` by a shuffle that spreads hot keys.
+
+    A fact row of a hot key gets a salt in ``[0, _spread)`` from a hash of
+    the whole row (deterministic, so a recomputed task salts the same way);
+    every dimension row of that key is repeated once per salt; all other rows
+    carry salt 0.  Each fact row thus meets exactly one copy of each matching
+    dimension row, and the result equals the plain join.  The hot-key table
+    is broadcast; it holds at most ``max_keys`` rows (default: 10,000 or the
+    session's broadcast bound, whichever is lower).
+    """
+    if how not in _BUILD_RIGHT:
+        raise ValueError(f"salted_join does not support {how!r}")
+    if max_keys is None:
+        max_keys = min(MAX_HOT_KEYS, broadcast_bound(fact))
+    if max_keys <= 0:
+        return fact.join(dim, key, how)
+    hot = F.broadcast(hot_keys(fact, key, hot_rows=hot_rows, sample_fraction=sample_fraction, max_keys=max_keys))
+    spread = F.coalesce(F.col("_spread"), F.lit(1))
+    hashable = [f.name for f in fact.schema.fields if f.dataType.typeName() != "map"]
+    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
+    salted_fact = (
+        fact.join(hot, key, "left")
+        .withColumn("_salt", F.when(spread > 1, F.pmod(row_hash, spread)).otherwise(F.lit(0)))
+        .drop("_spread")
+    )
+    salted_dim = (
+        dim.join(hot, key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
+        .drop("_spread")
+    )
+    return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")
 
 
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
-    on: str | list[str],
+    on: str,
     how: str = "inner",
     *,
     max_broadcast_rows: int | None = None,
-    size_check: bool = True,
+    salt_hot_keys: bool | None = None,
 ) -> DataFrame:
-    """``fact`` joined with a dimension on shared column names (one key column out).
+    """``fact`` joined with a dimension on a shared key column (one key column out).
 
     The dimension is counted and broadcast when it fits the bound
-    (``max_broadcast_rows``, default the session's); without ``size_check``,
-    or for join types that cannot build on the right, the planner chooses
-    from its size estimate.
+    (``max_broadcast_rows``, default the session's).  Otherwise the join
+    shuffles, salting hot keys unless ``salt_hot_keys`` (default: the
+    session's ``rateweave.skew.saltHotKeys``, on) is off, in which case only
+    Spark's adaptive skew join guards against them.  Salting costs one extra
+    read of the fact's key column for the estimate.
     """
-    if size_check and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        dim = broadcast_if_small(dim, max_broadcast_rows)
-    return fact.join(dim, on, how)
+    if how not in _BUILD_RIGHT:
+        return fact.join(dim, on, how)
+    small = broadcast_if_small(dim, max_broadcast_rows)
+    if salt_hot_keys is None:
+        salt_hot_keys = fact.sparkSession.conf.get(SALT_CONF, "true").lower() == "true"
+    if small is not dim or not salt_hot_keys:
+        return fact.join(small, on, how)
+    return salted_join(fact, dim, on, how)
 
 
 def semi_join(
@@ -87,10 +163,10 @@ def semi_join(
     """Rows of ``fact`` whose ``key`` occurs in ``keys`` (set membership).
 
     A key listed twice still lets its rows through once, unlike an inner
-    join, which would repeat them.
+    join, which would repeat them.  A key set above the broadcast bound is
+    joined by a shuffle with hot keys salted.
     """
-    ids = keys.select(key)
-    return fact.join(broadcast_if_small(ids, max_broadcast_rows), key, "left_semi")
+    return join_dimension(fact, keys.select(key), key, "left_semi", max_broadcast_rows=max_broadcast_rows)
 
 
 def lookup_after_top(

@@ -61,7 +61,11 @@ def clean_tables(spark, tmp_path) -> Tables:
     return dat_tables(spark, tmp_path / "clean", {})
 
 
+def _null_last(row):
+    return tuple((value is None, 0 if value is None else value) for value in row)
+
+
 def rows(df, *cols):
-    """Sorted plain tuples of the chosen columns."""
+    """Sorted plain tuples of the chosen columns (NULLs sort last)."""
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=_null_last)

@@ -145,4 +145,6 @@ def test_top_ids_are_broadcast_only_within_the_bound(spark, t):
         assert text.split("\n\n")[0].count("BroadcastHashJoin LeftSemi") == 1  # the ids; the cohort is over 100
     with no_auto_broadcast(spark), conf(spark, rateweave__broadcast__maxRows="5"):
         text = plan_text(A.cohort_top_movies_semi(t, "18", k=10))
-        assert "BroadcastHashJoin" not in text
+        assert "BroadcastHashJoin LeftSemi" not in text
+    with no_auto_broadcast(spark), conf(spark, rateweave__broadcast__maxRows="0"):
+        assert "BroadcastHashJoin" not in plan_text(A.cohort_top_movies_semi(t, "18", k=10))
