@@ -101,7 +101,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 PRELUDE = """
 WITH ratings AS (
-  SELECT o_custkey AS UserID, l_partkey AS MovieID, l_quantity AS Rating, l_shipdate AS "Timestamp"
+  SELECT o_custkey AS UserID, l_partkey AS MovieID, l_quantity AS Rating,
+         date_diff('second', TIMESTAMP '1970-01-01 00:00:00', l_shipdate) AS "Timestamp"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 users AS (
   SELECT c_custkey AS UserID, c_mktsegment AS Gender,

@@ -4,7 +4,7 @@
 
 =============  ==============================================================
 ratings        lineitem join orders: o_custkey UserID, l_partkey MovieID,
-               l_quantity Rating, l_shipdate Timestamp
+               l_quantity Rating, l_shipdate as epoch seconds Timestamp
 users          customer: c_custkey UserID, c_mktsegment Gender, band of
                c_acctbal Age, c_nationkey OccupationID
 movies         part: p_partkey MovieID, p_name Title, p_type Genres
@@ -48,6 +48,12 @@ SOURCE_COLUMNS = {
 }
 
 
+def epoch_seconds(ts):
+    """Whole seconds since 1970 of a zone-less timestamp (review times are
+    epoch seconds in the rating data); independent of the session time zone."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+
+
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     base = sf_dir.rstrip("/")
 
@@ -62,7 +68,7 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.col("o_custkey").alias("UserID"),
         F.col("l_partkey").alias("MovieID"),
         F.col("l_quantity").alias("Rating"),
-        F.col("l_shipdate").alias("Timestamp"),
+        epoch_seconds(F.col("l_shipdate")).alias("Timestamp"),
     )
     users = read("customer").select(
         F.col("c_custkey").alias("UserID"),
