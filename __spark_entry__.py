@@ -18,7 +18,14 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rateweave import schemas  # noqa: E402
-from rateweave.operators import project, sample_rows, where_between_exclusive, where_equals, where_suffix  # noqa: E402
+from rateweave.operators import (  # noqa: E402
+    project,
+    rating_pairs,
+    sample_rows,
+    where_between_exclusive,
+    where_equals,
+    where_suffix,
+)
 from rateweave.plans import analyses as A  # noqa: E402
 from rateweave.plans import roundtrips, sql  # noqa: E402
 from rateweave.sources.tables import load_tables  # noqa: E402
@@ -95,7 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # dimensions, recency, sampling
         "title_last_wins": _t(lambda s, t: A.titles_last_wins(_doubled_movies(t), "seq")),
         "latest_reviews": _t(lambda s, t: A.latest_reviews(t)),
-        "sample_ratings": _t(lambda s, t: sample_rows(project(t.ratings, "MovieID", "Rating"))),
+        "sample_ratings": _t(lambda s, t: sample_rows(rating_pairs(t.ratings))),
     }
 
 
