@@ -182,14 +182,14 @@ def lookup_after_top(
 
     ``top`` holds at most ``k`` rows (it is a top-k), so while ``k`` is within
     the broadcast bound its ids are broadcast to cut ``dim`` down to the few
-    rows wanted: the dimension is scanned but never shuffled.  Among duplicate
+    rows wanted (the dimension is scanned but never shuffled), and the chosen
+    values, one per id, are broadcast back to the top rows.  Among duplicate
     keys in ``dim`` the row with the highest ``seq`` wins (file order: the
     last one), else the greatest value.
     """
+    bounded = k <= broadcast_bound(top)
     ids = top.select(key)
-    if k <= broadcast_bound(top):
-        ids = F.broadcast(ids)
-    candidates = dim.join(ids, key, "left_semi")
+    candidates = dim.join(F.broadcast(ids) if bounded else ids, key, "left_semi")
     order: Column = F.struct(F.col(seq), F.col(value)) if seq else F.col(value)
     chosen = candidates.groupBy(key).agg(F.max_by(F.col(value), order).alias(value))
-    return top.join(chosen, key, "left")
+    return top.join(F.broadcast(chosen) if bounded else chosen, key, "left")

@@ -148,3 +148,10 @@ def test_top_ids_are_broadcast_only_within_the_bound(spark, t):
         assert "BroadcastHashJoin LeftSemi" not in text
     with no_auto_broadcast(spark), conf(spark, rateweave__broadcast__maxRows="0"):
         assert "BroadcastHashJoin" not in plan_text(A.cohort_top_movies_semi(t, "18", k=10))
+
+
+def test_lookup_joins_titles_back_without_shuffling_the_top(spark, t):
+    with no_auto_broadcast(spark), conf(spark, rateweave__broadcast__maxRows="100"):
+        tree = plan_text(A.cohort_top_movies_semi(t, "18", k=10)).split("\n\n")[0]
+    first_join = next(line for line in tree.splitlines() if "Join" in line)
+    assert "BroadcastHashJoin LeftOuter BuildRight" in first_join
