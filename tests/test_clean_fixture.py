@@ -116,3 +116,12 @@ def test_sql_spellings_leave_no_views_and_global_views_cross_sessions(spark, cle
     sql.drop_views(spark, names, "global")
     sql.drop_views(spark, mine, "local")
     assert views() == before
+
+
+def test_sql_text_predicate_equals_column_predicate(clean_tables):
+    from rateweave.operators import where_between_exclusive, where_equals, where_sql
+
+    by_text = rows(where_sql(clean_tables.users, "Age = '18'"))
+    assert by_text == rows(where_equals(clean_tables.users, "Age", "18"))
+    assert [r[0] for r in by_text] == ["1", "2"]
+    assert rows(where_between_exclusive(clean_tables.ratings, "Rating", 2, 5), "Rating") == [(3.0,), (3.0,), (4.0,)]
