@@ -8,6 +8,7 @@ from ``PRELUDE``, which spells the adapter in SQL.
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 from collections.abc import Callable
@@ -47,8 +48,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return A.cohort_top_titles(load_tables(spark, SMOKE_DIR), COHORT_A)
 
 
+@functools.lru_cache(maxsize=16)
+def _tables(spark: SparkSession, sf_dir: str):
+    """The relations of one folder, defined once per session as a catalog
+    would hold them.  Only the lazy definitions (and the file listing Spark
+    keeps with them) are reused; every query still reads the data."""
+    return load_tables(spark, sf_dir)
+
+
 def _t(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(spark, load_tables(spark, sf_dir))
+    return lambda spark, sf_dir: fn(spark, _tables(spark, sf_dir))
 
 
 def _doubled_movies(t) -> DataFrame:
