@@ -29,11 +29,24 @@ RECOMMENDED_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     shuffle_partitions: int = 8,
     app_name: str = "rateweave",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
+    """A session with the recommended settings.
+
+    With a ``master`` (tests, the bench, local runs) every setting is applied.
+    With ``master=None`` the session is the one the launcher (``spark-submit``)
+    configured; only runtime SQL settings it left unset are filled in, and
+    partition counts stay the launcher's (see ``sizing_conf``).
+    """
+    if master is None:
+        spark = SparkSession.builder.appName(app_name).getOrCreate()
+        for key, value in {**RECOMMENDED_CONF, **(extra or {})}.items():
+            if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
+        return spark
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = {**RECOMMENDED_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions)}
     conf.update(extra or {})
