@@ -15,3 +15,12 @@ def test_sizing_for_100_tb_on_8000_slots():
     assert partitions % 8000 == 0
     assert (100 << 40) / partitions <= 256 << 20
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_launcher_session_keeps_its_partition_count(spark):
+    from rateweave.session import build_session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    same = build_session(None)
+    assert same.conf.get("spark.sql.shuffle.partitions") == before
+    assert same.conf.get("spark.sql.adaptive.enabled") == "true"
