@@ -134,3 +134,16 @@ def test_strict_mode_does_not_depend_on_ansi(spark, tmp_path):
         short = _read(spark, tmp_path, "users", ["6::M::18"], schemas.USERS)
         with pytest.raises(ERRORS, match="expected 5 fields"):
             short.collect()
+
+
+def test_conversion_clusters_ratings_by_movie_within_files(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    lines = [f"{u}::{m}::{(u + m) % 5 + 1}::{1000 + u}" for u in range(1, 40) for m in (30, 10, 20)]
+    folder = write_dat(tmp_path / "dat", {**CLEAN, "ratings.dat": lines})
+    convert_to_parquet(spark, folder, str(tmp_path / "pq"))
+    for path in glob.glob(str(tmp_path / "pq" / "ratings" / "*.parquet")):
+        movies = pq.read_table(path, columns=["MovieID"]).column("MovieID").to_pylist()
+        assert movies == sorted(movies)
