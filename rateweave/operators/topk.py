@@ -16,6 +16,7 @@ from rateweave.functions.ordering import time_sort_key
 
 
 def top_k(df: DataFrame, order: list[Column], k: int = 10) -> DataFrame:
+    """The first ``k`` rows under ``order`` (give a total order for repeatable cuts)."""
     return df.orderBy(*order).limit(k)
 
 
@@ -26,6 +27,7 @@ def top_k_per_group(
     k: int = 10,
     rank_col: str = "rank",
 ) -> DataFrame:
+    """The first ``k`` rows of every group under ``order``, numbered 1..k in ``rank_col``."""
     keys = [group] if isinstance(group, str) else list(group)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(window)).where(F.col(rank_col) <= k)

@@ -42,6 +42,7 @@ def ratings_with_users(t: Tables, max_broadcast_rows: int | None = None) -> Data
 
 
 def users_with_occupations(t: Tables, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Every user with the name of their occupation (the occupation list is broadcast)."""
     return join_dimension(t.users, t.occupations, "OccupationID", max_broadcast_rows=max_broadcast_rows)
 
 
@@ -165,6 +166,7 @@ def cohort_ratings(t: Tables, age: str, max_broadcast_rows: int | None = None) -
 
 
 def cohort_user_ids(t: Tables, age: str) -> DataFrame:
+    """The set of user ids in an age band."""
     return distinct_values(_cohort_users(t.users, age), "UserID")
 
 
@@ -182,4 +184,5 @@ def titles_last_wins(movies: DataFrame, seq: str) -> DataFrame:
 
 
 def latest_reviews(t: Tables, k: int = DEFAULT_K) -> DataFrame:
+    """The ``k`` most recent ratings, newest first, higher rating first at equal times."""
     return latest(t.ratings, k).select("UserID", "MovieID", "Rating", "Timestamp")

@@ -55,6 +55,7 @@ def epoch_seconds(ts):
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The four relations over the Parquet test tables in ``sf_dir`` (lazy)."""
     base = sf_dir.rstrip("/")
 
     def read(name: str) -> DataFrame:
