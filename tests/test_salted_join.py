@@ -55,3 +55,27 @@ def test_shuffle_path_salts_and_keeps_results(spark, sides):
         assert "_salt" in text
         assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
         assert rows(joined) == rows(fact.join(dim, "k"))
+
+
+def test_hot_key_rows_land_in_several_join_partitions(spark):
+    from tests.test_plans import conf
+
+    fact = spark.range(60_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v")
+    )
+    dim = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    settings = {
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__adaptive__enabled": "false",
+        "spark__sql__shuffle__partitions": "16",
+    }
+
+    def partitions_of_hot_key(joined):
+        tagged = joined.where("k = 0").select(F.spark_partition_id().alias("pid"))
+        return tagged.distinct().count()
+
+    with conf(spark, **settings):
+        plain = partitions_of_hot_key(fact.join(dim, "k"))
+        salted = partitions_of_hot_key(salted_join(fact, dim, "k", hot_rows=5_000, sample_fraction=0.05))
+    assert plain == 1
+    assert salted >= 4  # 30,000 rows over 5,000 per task: spread 6
