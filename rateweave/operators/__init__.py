@@ -5,6 +5,7 @@ from rateweave.operators.filters import where_between_exclusive, where_equals, w
 from rateweave.operators.joins import (
     BROADCAST_ROWS_CONF,
     DEFAULT_BROADCAST_ROWS,
+    HOT_ROWS_CONF,
     SALT_CONF,
     broadcast_bound,
     broadcast_if_small,
@@ -20,6 +21,7 @@ from rateweave.operators.topk import latest, top_k, top_k_per_group
 __all__ = [
     "BROADCAST_ROWS_CONF",
     "DEFAULT_BROADCAST_ROWS",
+    "HOT_ROWS_CONF",
     "SALT_CONF",
     "avg_by",
     "broadcast_bound",

@@ -51,6 +51,7 @@ HOT_KEY_ROWS = 2_000_000
 HOT_KEY_SAMPLE = 0.0001
 MAX_HOT_KEYS = 10_000
 SALT_CONF = "rateweave.skew.saltHotKeys"
+HOT_ROWS_CONF = "rateweave.skew.hotKeyRows"
 _BUILD_RIGHT = ("inner", "left", "left_outer", "left_semi", "left_anti")
 
 
@@ -88,7 +89,7 @@ def salted_join(
     key: str,
     how: str = "inner",
     *,
-    hot_rows: int = HOT_KEY_ROWS,
+    hot_rows: int | None = None,
     sample_fraction: float = HOT_KEY_SAMPLE,
     max_keys: int | None = None,
 ) -> DataFrame:
@@ -98,12 +99,16 @@ def salted_join(
     the whole row (deterministic, so a recomputed task salts the same way);
     every dimension row of that key is repeated once per salt; all other rows
     carry salt 0.  Each fact row thus meets exactly one copy of each matching
-    dimension row, and the result equals the plain join.  The hot-key table
-    is broadcast; it holds at most ``max_keys`` rows (default: 10,000 or the
+    dimension row, and the result equals the plain join.  ``hot_rows`` is the
+    rows one task should take (default: the session's
+    ``rateweave.skew.hotKeyRows``, 2,000,000).  The hot-key table is
+    broadcast; it holds at most ``max_keys`` rows (default: 10,000 or the
     session's broadcast bound, whichever is lower).
     """
     if how not in _BUILD_RIGHT:
         raise ValueError(f"salted_join does not support {how!r}")
+    if hot_rows is None:
+        hot_rows = int(fact.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_KEY_ROWS)))
     if max_keys is None:
         max_keys = min(MAX_HOT_KEYS, broadcast_bound(fact))
     if max_keys <= 0:
