@@ -1,11 +1,12 @@
 """Run the analyses on a generated skewed dataset larger than the test tables.
 
-    python tools/scale_smoke.py [n_ratings] [n_users] [n_movies]
+    python tools/scale_smoke.py [n_ratings] [n_users] [n_movies] [nosalt]
 
 One user holds a third of all ratings and one movie a tenth.  The broadcast
 bound is set below the users table, so user joins take the shuffle path, as
 with a users table far above the bound.  Prints seconds per analysis and
-whether the hot-user join was split.
+whether the hot-user join was split by adaptive execution.  ``nosalt`` turns
+hot-key salting off, to compare.
 """
 
 from __future__ import annotations
@@ -49,10 +50,15 @@ def main(argv: list[str]) -> int:
     n = int(argv[0]) if argv else 30_000_000
     users = int(argv[1]) if len(argv) > 1 else 1_000_000
     movies = int(argv[2]) if len(argv) > 2 else 100_000
+    salt = "false" if "nosalt" in argv[3:] else "true"
     spark = build_session(
         "local[8]",
         shuffle_partitions=64,
-        extra={"rateweave.broadcast.maxRows": str(users // 10), "spark.driver.memory": "8g"},
+        extra={
+            "rateweave.broadcast.maxRows": str(users // 10),
+            "rateweave.skew.saltHotKeys": salt,
+            "spark.driver.memory": "8g",
+        },
     )
     t = generate(spark, n, users, movies)
     analyses = {
@@ -70,7 +76,7 @@ def main(argv: list[str]) -> int:
         df = build()
         rows = df.collect()
         took = time.perf_counter() - start
-        split = "skew split" if "skew=true" in plan_text(df) else ""
+        split = "adaptive skew split" if "skew=true" in plan_text(df) else ""
         print(f"{name:28s} {took:7.2f}s rows={len(rows):3d} {split}")
     spark.stop()
     return 0
