@@ -96,7 +96,9 @@ def salted_join(
     """``fact.join(dim, key, how)`` by a shuffle that spreads hot keys.
 
     A fact row of a hot key gets a salt in ``[0, _spread)`` from a hash of
-    the whole row (deterministic, so a recomputed task salts the same way);
+    the whole row (deterministic, so a recomputed task salts the same way;
+    rows identical in every column share a salt, so keep a column that tells
+    a key's rows apart, such as a time, in ``fact`` until after the join);
     every dimension row of that key is repeated once per salt; all other rows
     carry salt 0.  Each fact row thus meets exactly one copy of each matching
     dimension row, and the result equals the plain join.  ``hot_rows`` is the

@@ -53,7 +53,9 @@ def movie_viewers(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int | None
     share of all ratings, so its raters are never assumed small: it is the
     user and occupation lists that are broadcast, each after its size check.
     """
-    raters = where_equals(t.ratings, "MovieID", movie).select("UserID")
+    # Rating and time stay on the raters until after the join: they make a
+    # hot user's rows differ, which the salted shuffle join needs to spread them.
+    raters = where_equals(t.ratings, "MovieID", movie).select("UserID", "Rating", "Timestamp")
     profiles = join_dimension(raters, t.users, "UserID", max_broadcast_rows=max_broadcast_rows)
     named = join_dimension(profiles, t.occupations, "OccupationID", max_broadcast_rows=max_broadcast_rows)
     return named.select("UserID", "Gender", "Age", "OccupationName")
@@ -61,7 +63,7 @@ def movie_viewers(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int | None
 
 def demographics(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int | None = None) -> DataFrame:
     """Head-count of the raters of ``movie`` by gender and age band."""
-    raters = where_equals(t.ratings, "MovieID", movie).select("UserID")
+    raters = where_equals(t.ratings, "MovieID", movie).select("UserID", "Rating", "Timestamp")
     profiles = t.users.select("UserID", "Gender", "Age")
     rated = join_dimension(raters, profiles, "UserID", max_broadcast_rows=max_broadcast_rows)
     return count_by(rated, ["Gender", "Age"])

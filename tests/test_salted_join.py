@@ -79,3 +79,34 @@ def test_hot_key_rows_land_in_several_join_partitions(spark):
         salted = partitions_of_hot_key(salted_join(fact, dim, "k", hot_rows=5_000, sample_fraction=0.05))
     assert plain == 1
     assert salted >= 4  # 30,000 rows over 5,000 per task: spread 6
+
+
+def test_rows_that_differ_only_beyond_the_key_are_what_spreads(spark):
+    from rateweave.plans import analyses as A
+    from rateweave.sources.tables import Tables
+    from tests.test_plans import conf
+
+    ratings = spark.range(2_000).select(
+        F.lit(0).cast("long").alias("UserID"),
+        F.lit(5).cast("long").alias("MovieID"),
+        F.lit(4.0).alias("Rating"),
+        F.col("id").alias("Timestamp"),
+    )
+    users = spark.createDataFrame([(0, "M", "18", 1)], "UserID long, Gender string, Age string, OccupationID int")
+    occupations = spark.createDataFrame([(1, "job")], "OccupationID int, OccupationName string")
+    t = Tables(ratings, users, spark.createDataFrame([], "MovieID long, Title string"), occupations)
+    viewers = A.movie_viewers(t, 5, max_broadcast_rows=0)
+    assert viewers.count() == 2_000
+
+    def partitions(fact):
+        joined = salted_join(fact, users, "UserID", hot_rows=100, sample_fraction=1.0)
+        return joined.select(F.spark_partition_id().alias("pid")).distinct().count()
+
+    settings = {
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__adaptive__enabled": "false",
+        "spark__sql__shuffle__partitions": "16",
+    }
+    with conf(spark, **settings):
+        assert partitions(ratings.select("UserID", "Timestamp")) >= 4
+        assert partitions(ratings.select("UserID")) == 1
