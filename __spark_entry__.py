@@ -31,6 +31,14 @@ from rateweave.plans import analyses as A  # noqa: E402
 from rateweave.plans import roundtrips, sql  # noqa: E402
 from rateweave.sources.tables import load_tables  # noqa: E402
 
+try:
+    from rateweave.llm.queries import ORACLES as LLM_ORACLES
+    from rateweave.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:  # the library works without its llm subpackage
+    if not (missing.name or "").startswith("rateweave.llm"):
+        raise
+    LLM_ORACLES, LLM_QUERIES = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the questions, in the test tables' terms: the market segment
@@ -112,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "title_last_wins": _t(lambda s, t: A.titles_last_wins(_doubled_movies(t), "seq")),
         "latest_reviews": _t(lambda s, t: A.latest_reviews(t)),
         "sample_ratings": _t(lambda s, t: sample_rows(rating_pairs(t.ratings))),
+        **LLM_QUERIES,
     }
 
 
@@ -241,4 +250,4 @@ ORDER BY "Timestamp" DESC, Rating DESC, UserID, MovieID LIMIT 10""",
 
 def oracle_sql() -> dict[str, str]:
     # A body that starts with "," continues the prelude's WITH list.
-    return {key: PRELUDE.strip() + "\n" + body.strip() for key, body in _BODIES.items()}
+    return {key: PRELUDE.strip() + "\n" + body.strip() for key, body in _BODIES.items()} | LLM_ORACLES
