@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rateweave.llm import (
     containment_search,
     language_id,
+    merkle_fixity,
     oph_fingerprint,
+    pii_surrogates,
     quality_ftrl,
+    sentencepiece_codec,
     simhash_ball,
     toxicity_ftrl,
+    url_cascade,
 )
 
 
@@ -20,6 +25,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_codec.encode(docs, decoded=True).drop("text")
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_surrogates.surrogates(docs, count_col="n_entities")
+
+
+def op3_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' WARC files against a replica with a flipped byte in some records and some files cut short."""
+    page, per_file = F.col("page_id"), merkle_fixity.RECORDS_PER_FILE
+    damaged = page % 97 == 5
+    lost = (F.floor(page / per_file) % 5 == 3) & (page % per_file >= 990)
+    ours, theirs = merkle_fixity.archived(_table(spark, sf_dir, "pages"), damaged, lost)
+    return merkle_fixity.audit(ours, theirs)
+
+
 def op4_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_ball.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -58,15 +82,24 @@ def op9_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity_ftrl.score(rows, model))
 
 
+def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_cascade.judged(pages, url_cascade.default_list(spark)).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_sentencepiece,
+        op2_pii_surrogates,
+        op3_merkle_fixity,
         op4_simhash_ball,
         op5_language_id,
         op6_oph_fingerprint,
         op7_containment_search,
         op8_quality_ftrl,
         op9_toxicity_ftrl,
+        op10_url_cascade,
     )
 }
 
@@ -77,7 +110,51 @@ SELECT {id}, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [ar
   ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS s
 FROM (SELECT {id}, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]+') AS w FROM {table})"""
 
+_RECORD = """'WARC/{version}' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
+  || coalesce(url, '') || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>'
+  || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR || chr(13) || chr(10)
+  || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)"""
+
+_RULE_CASES = "\n".join(
+    f"    WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}={said}'"
+    for said, h, p in sorted(url_cascade.RULES, key=lambda r: -len(r[1] + r[2]))
+)
+_LISTED = [f"{n}.{s}" for n in url_cascade.LISTED_NAMES for s in url_cascade.LISTED_SUFFIXES]
+
 ORACLES: dict[str, str] = {
+    "op3_merkle_fixity": f"""
+WITH records AS (
+  SELECT page_id, page_id // 1000 AS number, {_RECORD.format(version="1.0")} AS a, {_RECORD.format(version="1.1")} AS b,
+         (page_id // 1000) % 5 = 3 AND page_id % 1000 >= 990 AS lost
+  FROM pages),
+placed AS (
+  SELECT *, strlen(a)::BIGINT AS length, coalesce(sum(strlen(a)) OVER (
+      PARTITION BY number ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+  FROM records)
+SELECT 'pages-' || lpad(number::VARCHAR, 6, '0') || '.warc' AS file, "offset",
+       CASE WHEN lost THEN 'missing' ELSE 'corrupt' END AS status, length, sha256(a) AS hash,
+       CASE WHEN NOT lost THEN length END AS other_length, CASE WHEN NOT lost THEN sha256(b) END AS other_hash
+FROM placed WHERE lost OR page_id % 97 = 5""",
+    "op10_url_cascade": f"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, regexp_extract(r, '^[^/?#]*') AS h, r FROM rest),
+judged AS (
+  SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path
+  FROM parts),
+ruled AS (
+  SELECT *, CASE
+{_RULE_CASES}
+    END AS found
+  FROM judged)
+SELECT page_id, host, path, split_part(found, '=', 1) AS rule,
+       coalesce(split_part(found, '=', 2),
+                CASE WHEN list_has_any(list_transform(range(1, len(string_split(host, '.')) + 1),
+                                                      lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+                                       {_LISTED!r}) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled""",
     "op7_containment_search": f"""
 WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
 b AS ({_SHINGLES.format(id="item_id", table="(SELECT DISTINCT item_id, text FROM benchmark)")}),
