@@ -59,7 +59,10 @@ _NAME_WORD = f"[{_UPPER}][{_LOWER}]+(?:[-'’][{_UPPER}]?[{_LOWER}]+)?"
 _GENDER = {name: g for g, names in GIVEN.items() for name in names.split()}
 _PATTERNS = {
     "email": re.compile(r"[\w.+-]*[\w+-]@[A-Za-z0-9](?:[\w-]*\.)+[A-Za-z]{2,}"),
-    "phone": re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"),
+    "phone": re.compile(
+        r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
+        r"|\+[2-9]\d{0,2}(?:[ .-]?(?:\(\d{1,4}\)|\d{2,4})){2,5})(?!\w|\.\d)"
+    ),
     "card": re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
@@ -192,7 +195,7 @@ def stand_in(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         # A domain has one stand-in, whoever writes from it.
         return f"{_same_classes(local + 'a' * more, stream)}@{_same_classes(body, _Stream(key, 'domain', domain))}.{top}"
     if kind == "phone":
-        code = 1 if canonical[0] in "17" else 2
+        code = 1 if canonical[0] in "17" else 2  # the country's digits stay
         return canonical[:code] + _same_classes(canonical[code:], stream)
     if kind == "card":
         payload = canonical[0] + _same_classes(canonical[1:-1], stream)
