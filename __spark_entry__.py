@@ -32,10 +32,13 @@ from rateweave.plans import roundtrips, sql  # noqa: E402
 from rateweave.sources.tables import load_tables  # noqa: E402
 
 try:
+    import corpus_pipeline
     from rateweave.llm.queries import ORACLES as LLM_ORACLES
-    from rateweave.llm.queries import QUERIES as LLM_QUERIES
+    from rateweave.llm.queries import QUERIES
+
+    LLM_QUERIES = {**QUERIES, "pipeline": corpus_pipeline.run}
 except ModuleNotFoundError as missing:  # the library works without its llm subpackage
-    if not (missing.name or "").startswith("rateweave.llm"):
+    if not (missing.name or "").startswith(("rateweave.llm", "corpus_pipeline")):
         raise
     LLM_ORACLES, LLM_QUERIES = {}, {}
 
