@@ -40,11 +40,14 @@ class Codec:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        data, rebuilt, self.surfaces, self.hidden, self.prefix, self.cut = spec
+        data, rebuilt, self.surfaces, self.hidden, self.unknown, self.prefix, self.squeezes, self.cut = spec
+        self.strips = self.prefix or self.squeezes
         self.threads = threads
         self.tokenizer = Tokenizer.from_str(rebuilt)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.known: dict[str, tuple[int, ...]] = {}
+        # A space that ends a text, or stands alone, is the dummy prefix of nothing: the marker's own piece.
+        self.fixed = {"": (self.reference.piece_to_id(SPACE),)} if self.prefix and self.cut else {}
+        self.known: dict[str, tuple[int, ...]] = dict(self.fixed)
         self.differing: set[str] = set()
 
     def segments(self, text: str) -> list[str]:
@@ -63,8 +66,6 @@ class Codec:
         return text.split(" ")
 
     def _learn(self, parts: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         ours = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         theirs = self.reference.encode(parts, num_threads=self.threads)
         for part, own, want in zip(parts, ours, theirs):
@@ -75,10 +76,11 @@ class Codec:
     def encode(self, texts: list[str | None]) -> tuple[list[array], list[bool]]:
         """Ids of each text (none for a null or empty one), and whether both libraries agree on all its parts."""
         cut = [self.segments(t or "") for t in texts]
+        if len(self.known) > REMEMBERED:
+            self.known = dict(self.fixed)
         new = list(dict.fromkeys(p for p in chain.from_iterable(cut) if p not in self.known))
         if new:
-            # Clearing would lose parts that this batch knew: learn them all again then.
-            self._learn(new if len(self.known) <= REMEMBERED else list(dict.fromkeys(chain.from_iterable(cut))))
+            self._learn(new)
         ids, agree = [], []
         for parts in cut:
             ids.append(array("i", chain.from_iterable(map(self.known.__getitem__, parts))))
@@ -90,11 +92,21 @@ class Codec:
         return ids, agree
 
     def decode(self, ids) -> str:
-        """The text of ids: their surfaces joined, without the dummy prefix.
-        Bytes that are no UTF-8 are left to the tokenizers library."""
+        """The text of ids: their surfaces joined, without the dummy prefix (and
+        all leading markers, if the model squeezes spaces).  Bytes that are no
+        UTF-8 are left to the tokenizers library."""
         raw = b"".join(map(self.surfaces.__getitem__, ids))
-        if self.prefix and raw[:1] == b" ":
-            raw = raw[1:]
+        lead = 0
+        if self.strips and raw[:1] == b" ":
+            for i in ids:
+                if i in self.hidden:
+                    continue
+                if i == self.unknown or self.surfaces[i][:1] != b" ":
+                    break
+                lead += 1
+                if not self.squeezes or self.surfaces[i] != b" ":
+                    break
+        raw = raw[lead:]
         try:
             return raw.decode("utf-8")
         except UnicodeDecodeError:
@@ -108,7 +120,7 @@ def prepared(data: bytes) -> tuple:
     plain = not model.charsmap and not model.remove_extra_whitespaces
     hidden = {i for i, (_, _, kind) in enumerate(model.pieces) if kind == CONTROL}
     cut = plain and spaces_only_lead(model)
-    return data, build_tokenizer(model).to_str(), surfaces(model), hidden, model.add_dummy_prefix, cut
+    return data, build_tokenizer(model).to_str(), surfaces(model), hidden, model.unk_id, model.add_dummy_prefix, model.remove_extra_whitespaces, cut
 
 
 def _lists(values: list[array]) -> pa.ListArray:

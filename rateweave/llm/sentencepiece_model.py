@@ -156,8 +156,11 @@ def build_tokenizer(model: SentencePieceModel):
     unk = model.unk_id
     if model.model_type == UNIGRAM:
         worst = min(score for _, score, kind in model.pieces if kind == NORMAL)
-        # Controls and the unknown piece never match text: a score no path can prefer.
-        vocab = [(t, s if kind in (NORMAL, USER_DEFINED) else worst - 1e6) for t, s, kind in model.pieces]
+        # Controls and the unknown piece never match text: they get a name that no text has.
+        vocab = [
+            ("\uf8ff" + t if kind in (UNKNOWN, CONTROL) else t, s if kind in (NORMAL, USER_DEFINED) else worst)
+            for t, s, kind in model.pieces
+        ]
         core = models.Unigram(vocab, unk, model.byte_fallback)
     else:
         core = models.BPE(
@@ -172,7 +175,7 @@ def build_tokenizer(model: SentencePieceModel):
     if model.charsmap:
         steps.append(normalizers.Precompiled(model.charsmap))
     if model.remove_extra_whitespaces:
-        steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()]
+        steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Replace(Regex("^ | $"), "")]
     if model.add_dummy_prefix:
         steps.append(normalizers.Prepend(" "))
     steps.append(normalizers.Replace(" ", SPACE))
