@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm._common import UNSPACED, mixed, shingle_hashes, token_hashes
+from rateweave.llm._common import MULTIPLIERS, UNSPACED, mixed, shingle_hashes, token_hashes
 
 SHINGLE_WORDS = 5
 BINS = 512
@@ -60,7 +60,9 @@ def sketch(text: str) -> np.ndarray | None:
         values[empty[found]] = values[donors]
         empty, start = empty[~found], stop
     values[empty] = values[bins[0]]  # reached no filled bin: the first one
-    return (mixed(values) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+    # Each bin draws its low bits anew, so texts of few shingles, whose bins hold the same minimum, agree by chance no more often.
+    own = values + np.arange(BINS, dtype=np.uint64) * np.uint64(MULTIPLIERS[0])
+    return (mixed(own) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 
 
 def pack(low: np.ndarray | None) -> str:
