@@ -1,0 +1,102 @@
+"""The two classifiers: updates against a plain rendering, held-out accuracy, odd inputs."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from rateweave.llm import ftrl, quality_ftrl, queries, toxicity_ftrl
+from rateweave.llm._common import UNSPACED, WORDS, WORDS_AND_SIGNS, token_hashes
+
+SF1 = "/root/testdata/sf0.1"
+
+
+@pytest.mark.parametrize(
+    "kind, pattern", [(WORDS, r"\w+"), (WORDS_AND_SIGNS, r"\w+|[^\w\s]+"), (UNSPACED, r"\S+")]
+)
+@pytest.mark.parametrize("size", [4, 1 << 20])
+def test_token_hashes_are_those_of_the_tokens(monkeypatch, kind, pattern, size):
+    monkeypatch.setattr("rateweave.llm._common.SLICE", size)
+    text = "On est là!! a_b  3.5 日本語日本語日本語 tab\tx x x ... Ünï ünï" * 3
+    got, want = token_hashes(text, kind), re.findall(pattern, text)
+    assert len(got) == len(want)
+    assert len(set(zip(got.tolist(), want))) == len(set(got.tolist())) == len(set(want))
+    assert len(token_hashes("", kind)) == len(token_hashes(" ", kind)) == 0
+
+
+def plain_fit(rows, p):
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= (0 if i == "bias" else p.l1):
+            return 0.0
+        l1, l2 = (0, 0) if i == "bias" else (p.l1, p.l2)
+        return -(z[i] - math.copysign(l1, z[i])) / ((p.beta + math.sqrt(n[i])) / p.alpha + l2)
+
+    for _ in range(p.epochs):
+        for buckets, label in rows:
+            at = [*buckets.tolist(), "bias"]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in at:
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / p.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+@pytest.mark.parametrize("p", [ftrl.FTRL(0.1, 0.5, 1.0, bits=6), ftrl.FTRL(1.0, 0.2, bits=6)])
+def test_fit_is_ftrl_proximal(p):
+    rng = np.random.default_rng(3)
+    rows = [(np.unique(rng.integers(0, 64, 8)), int(rng.integers(0, 2))) for _ in range(80)]
+    got, want = ftrl.fit(rows, p), plain_fit(rows, p)
+    want[ftrl.BIAS] = want.pop("bias", 0.0)
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-9, abs_tol=1e-12) for i in got)
+
+
+@pytest.mark.parametrize(
+    "name, label, modulus, left, least",
+    [("op8_quality_ftrl", "quality", 3, 1, 0.99), ("op9_toxicity_ftrl", "toxic", 5, 0, 0.93)],
+)
+def test_held_out_accuracy(spark, name, label, modulus, left, least):
+    got = queries.QUERIES[name](spark, SF1).toPandas()
+    assert len(got) == spark.read.parquet(f"{SF1}/documents.parquet").count()
+    assert got["score"].between(0, 1).all() and (got["predicted"] == (got["score"] >= 0.5)).all()
+    assert (got["held_out"] == [zlib.crc32(str(i).encode()) % modulus == left for i in got["doc_id"]]).all()
+    labels = spark.read.parquet(f"{SF1}/labels.parquet").toPandas()
+    held = got[got["held_out"]].merge(labels, on="doc_id")
+    assert (held["predicted"] == held[label]).mean() >= least
+
+
+@pytest.mark.parametrize("module, label", [(quality_ftrl, "quality"), (toxicity_ftrl, "toxic")])
+def test_odd_rows(spark, docs_of, module, label):
+    docs = docs_of([(1, None), (2, ""), (3, "x " * 50_000), (3, "x"), (None, "a"), (4, "good words"), (4, "good words")])
+    labels = spark.createDataFrame([(1, 1), (2, None), (3, 0), (3, 1), (None, 1), (4, 5)], f"doc_id long, {label} int")
+    rows = module.score(docs, module.train(docs, labels), into="own").collect()
+    assert len(rows) == 7 and all(0 <= r["own"] <= 1 for r in rows)
+    assert len({r["own"] for r in rows if not r["text"]}) == 1
+    nothing = module.train(docs_of([]), labels.limit(0))
+    assert module.score(docs_of([]), nothing, into="own").count() == 0
+    assert {r["own"] for r in module.score(docs, nothing, into="own").collect()} == {0.5}
+
+
+def test_training_never_sees_held_out_labels(spark, docs_of):
+    ids = range(60)
+    docs = docs_of([(i, f"common w{zlib.crc32(str(i).encode()) % 3}") for i in ids])
+    # Only held-out rows are labelled 0: a model that saw them would learn their word.
+    labels = spark.createDataFrame([(i, int(zlib.crc32(str(i).encode()) % 3 != 1)) for i in ids], "doc_id long, quality int")
+    got = quality_ftrl.score(docs, quality_ftrl.train(docs, labels), into="own").collect()
+    assert all(r["own"] > 0.5 for r in got)
+
+
+def test_keep_good_keeps_whole_rows(spark, docs_of):
+    good, bad = "plain words of prose here", "WORDS!! ###### @@@ !!"
+    docs = docs_of([(i, good if i % 3 else bad) for i in range(90)])
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(90)], "doc_id long, quality int")
+    kept = quality_ftrl.keep_good(docs, quality_ftrl.train(docs, labels))
+    assert kept.columns == docs.columns and {r["text"] for r in kept.collect()} == {good} and kept.count() == 60
