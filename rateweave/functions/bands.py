@@ -34,14 +34,13 @@ def bucketize(value: Column, uppers: list[float], codes: list[str]) -> Column:
     """Code of the first band whose exclusive upper bound exceeds ``value``.
 
     ``codes`` has one more entry than ``uppers``: the open top band.  A NULL
-    value falls through to the top band, as a SQL ``CASE`` chain does.
+    value is in no band: its code is NULL.
     """
     if len(codes) != len(uppers) + 1:
         raise ValueError("codes must have one entry more than uppers")
-    expr = None
+    expr = F.when(value.isNull(), F.lit(None))
     for upper, code in zip(uppers, codes):
-        cond = value < F.lit(upper)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
+        expr = expr.when(value < F.lit(upper), F.lit(code))
     return expr.otherwise(F.lit(codes[-1]))
 
 

@@ -1,16 +1,12 @@
 """Joins: dimension joins, semi-joins and late title lookups.
 
-Broadcast policy.  A side is hinted for broadcast only when its size is
-bounded: either by construction (the ids of a top-k, at most k rows) or by
-an exact row count checked before the join is planned.
-
-Hot keys.  A larger dimension is joined by a shuffle, and there one key
-holding a large share of the fact rows would land in a single task.  The
-shuffle path therefore salts hot keys (``salted_join``): keys whose
-estimated row count exceeds what one task should take are spread over
-several partitions, and the dimension rows of just those keys are
-replicated to meet them.  Spark's adaptive skew join, where enabled, can
-still split whatever remains uneven.
+Every join is one plain equi-join.  Its physical form is Spark's choice: a
+side is broadcast when its measured bytes are under the session's threshold
+(at planning, or at run time once adaptive execution knows the filtered
+size); otherwise both sides are shuffled, and a partition that a hot key has
+blown up, a hot NULL key of an outer join included, is split by the adaptive
+skew join.  Only a side that is small by construction (the ids of a top-k) is
+hinted for broadcast.
 """
 
 from __future__ import annotations
@@ -18,185 +14,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side, in rows, that is broadcast after a count.  A key set of a
-# million longs is a hashed relation of a few tens of MB on every executor.
-# A session can set its own bound (executor memory differs per cluster).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-BROADCAST_ROWS_CONF = "rateweave.broadcast.maxRows"
-
-
-def broadcast_bound(df: DataFrame) -> int:
-    """The session's broadcast bound in rows."""
-    return int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``df`` hinted for broadcast when it holds at most ``max_rows`` rows
-    (default: the session's bound).
-
-    The check is an exact distributed count (partial counts per task, one
-    number to the driver), run once when the plan is built.
-    """
-    if max_rows is None:
-        max_rows = broadcast_bound(df)
-    if max_rows > 0 and df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-# Hot-key salting: a key is hot when its estimated rows exceed what one task
-# should take; the estimate comes from a seeded sample of the key column (one
-# row in ten thousand: a key at the threshold shows up about 200 times).
-HOT_KEY_ROWS = 2_000_000
-HOT_KEY_SAMPLE = 0.0001
-MAX_HOT_KEYS = 10_000
-SALT_CONF = "rateweave.skew.saltHotKeys"
-HOT_ROWS_CONF = "rateweave.skew.hotKeyRows"
-_BUILD_RIGHT = ("inner", "left", "left_outer", "left_semi", "left_anti")
-
-
-def hot_keys(
-    fact: DataFrame,
-    key: str,
-    *,
-    hot_rows: int = HOT_KEY_ROWS,
-    sample_fraction: float = HOT_KEY_SAMPLE,
-    max_keys: int = MAX_HOT_KEYS,
-    seed: int = 17,
-) -> DataFrame:
-    """Keys of ``fact`` estimated to hold at least ``hot_rows`` rows, with the
-    number of partitions (``_spread``) each should be spread over.
-
-    Only the key column is read for the estimate.  At most ``max_keys`` keys
-    are kept (the heaviest), so the result is bounded and broadcastable;
-    lighter keys simply join unsalted.
-    """
-    estimate = (
-        fact.select(key)
-        .where(F.col(key).isNotNull())
-        .sample(withReplacement=False, fraction=sample_fraction, seed=seed)
-        .groupBy(key)
-        .agg((F.count(F.lit(1)) / F.lit(sample_fraction)).alias("_rows"))
-    )
-    heavy = estimate.where(F.col("_rows") >= F.lit(hot_rows))
-    top = heavy.orderBy(F.col("_rows").desc(), F.col(key)).limit(max_keys)
-    return top.select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_spread"))
-
-
-def salted_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    how: str = "inner",
-    *,
-    hot_rows: int | None = None,
-    sample_fraction: float = HOT_KEY_SAMPLE,
-    max_keys: int | None = None,
-) -> DataFrame:
-    """``fact.join(dim, key, how)`` by a shuffle that spreads hot keys.
-
-    A fact row of a hot key gets a salt in ``[0, _spread)`` from a hash of
-    the whole row (deterministic, so a recomputed task salts the same way;
-    rows identical in every column share a salt, so keep a column that tells
-    a key's rows apart, such as a time, in ``fact`` until after the join);
-    every dimension row of that key is repeated once per salt; all other rows
-    carry salt 0.  Each fact row thus meets exactly one copy of each matching
-    dimension row, and the result equals the plain join.  ``hot_rows`` is the
-    rows one task should take (default: the session's
-    ``rateweave.skew.hotKeyRows``, 2,000,000).  The hot-key table is
-    broadcast; it holds at most ``max_keys`` rows (default: 10,000 or the
-    session's broadcast bound, whichever is lower).
-    """
-    if how not in _BUILD_RIGHT:
-        raise ValueError(f"salted_join does not support {how!r}")
-    if hot_rows is None:
-        hot_rows = int(fact.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_KEY_ROWS)))
-    if max_keys is None:
-        max_keys = min(MAX_HOT_KEYS, broadcast_bound(fact))
-    if max_keys <= 0:
-        return fact.join(dim, key, how)
-    hot = F.broadcast(hot_keys(fact, key, hot_rows=hot_rows, sample_fraction=sample_fraction, max_keys=max_keys))
-    spread = F.coalesce(F.col("_spread"), F.lit(1))
-    hashable = [f.name for f in fact.schema.fields if f.dataType.typeName() != "map"]
-    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
-    salted_fact = (
-        fact.join(hot, key, "left")
-        .withColumn("_salt", F.when(spread > 1, F.pmod(row_hash, spread)).otherwise(F.lit(0)))
-        .drop("_spread")
-    )
-    salted_dim = (
-        dim.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
-        .drop("_spread")
-    )
-    return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")
-
 
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str,
-    how: str = "inner",
-    *,
-    max_broadcast_rows: int | None = None,
-    salt_hot_keys: bool | None = None,
-) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner", *, hint: str | None = None) -> DataFrame:
     """``fact`` joined with a dimension on a shared key column (one key column out).
 
-    The dimension is counted and broadcast when it fits the bound
-    (``max_broadcast_rows``, default the session's).  Otherwise the join
-    shuffles, salting hot keys unless ``salt_hot_keys`` (default: the
-    session's ``rateweave.skew.saltHotKeys``, on) is off, in which case only
-    Spark's adaptive skew join guards against them.  Salting costs one extra
-    read of the fact's key column for the estimate.
+    ``hint`` names a join strategy for ``dim`` (such as ``merge``) where a
+    caller must not leave the choice to Spark.
     """
-    if how not in _BUILD_RIGHT:
-        return fact.join(dim, on, how)
-    small = broadcast_if_small(dim, max_broadcast_rows)
-    if salt_hot_keys is None:
-        salt_hot_keys = fact.sparkSession.conf.get(SALT_CONF, "true").lower() == "true"
-    if small is not dim or not salt_hot_keys:
-        return fact.join(small, on, how)
-    return salted_join(fact, dim, on, how)
+    return fact.join(dim.hint(hint) if hint else dim, on, how)
 
 
-def semi_join(
-    fact: DataFrame,
-    keys: DataFrame,
-    key: str,
-    *,
-    max_broadcast_rows: int | None = None,
-) -> DataFrame:
+def semi_join(fact: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``fact`` whose ``key`` occurs in ``keys`` (set membership).
 
     A key listed twice still lets its rows through once, unlike an inner
-    join, which would repeat them.  A key set above the broadcast bound is
-    joined by a shuffle with hot keys salted.
+    join, which would repeat them.
     """
-    return join_dimension(fact, keys.select(key), key, "left_semi", max_broadcast_rows=max_broadcast_rows)
+    return fact.join(keys.select(key), key, "left_semi")
 
 
-def lookup_after_top(
-    top: DataFrame,
-    dim: DataFrame,
-    key: str,
-    value: str,
-    k: int,
-    *,
-    seq: str | None = None,
-) -> DataFrame:
-    """Attach ``value`` from ``dim`` to the rows of a top-``k``, NULL when absent.
+def lookup_after_top(top: DataFrame, dim: DataFrame, key: str, value: str, *, seq: str | None = None) -> DataFrame:
+    """Attach ``value`` from ``dim`` to the rows of a top-k, NULL when absent.
 
-    ``top`` holds at most ``k`` rows (it is a top-k), so while ``k`` is within
-    the broadcast bound its ids are broadcast to cut ``dim`` down to the few
-    rows wanted (the dimension is scanned but never shuffled), and the chosen
-    values, one per id, are broadcast back to the top rows.  Among duplicate
-    keys in ``dim`` the row with the highest ``seq`` wins (file order: the
-    last one), else the greatest value.
+    ``top`` is a top-k, a report of a few rows, so its ids are broadcast to
+    cut ``dim`` down to the rows wanted (the dimension is scanned but never
+    shuffled), and the chosen values, one per id, are broadcast back.  Among
+    duplicate keys in ``dim`` the row with the highest ``seq`` wins (file
+    order: the last one), else the greatest value.
     """
-    bounded = k <= broadcast_bound(top)
-    ids = top.select(key)
-    candidates = dim.join(F.broadcast(ids) if bounded else ids, key, "left_semi")
+    candidates = dim.join(F.broadcast(top.select(key)), key, "left_semi")
     order: Column = F.struct(F.col(seq), F.col(value)) if seq else F.col(value)
     chosen = candidates.groupBy(key).agg(F.max_by(F.col(value), order).alias(value))
-    return top.join(F.broadcast(chosen) if bounded else chosen, key, "left")
+    return top.join(F.broadcast(chosen), key, "left")

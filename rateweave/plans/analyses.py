@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.functions.bands import age_label
+from rateweave.functions.bands import age_band, age_label
 from rateweave.functions.ordering import as_string_id
 from rateweave.operators.aggregates import avg_by, count_by, distinct_values, last_wins
 from rateweave.operators.filters import where_equals, where_suffix
@@ -34,38 +34,41 @@ def _cohort_users(users: DataFrame, age: str) -> DataFrame:
 # --- joins -----------------------------------------------------------------
 
 
-def ratings_with_users(t: Tables, max_broadcast_rows: int | None = None) -> DataFrame:
-    """Every rating with its rater's gender and age band (inner join)."""
+def ratings_with_users(t: Tables, hint: str | None = None) -> DataFrame:
+    """Every rating with its rater's gender and age band (inner join).
+
+    ``hint`` forces a join strategy, such as ``merge`` for the shuffle form
+    that a users table beyond any broadcast takes.
+    """
     profiles = t.users.select("UserID", "Gender", "Age")
-    rated = join_dimension(t.ratings, profiles, "UserID", max_broadcast_rows=max_broadcast_rows)
+    rated = join_dimension(t.ratings, profiles, "UserID", hint=hint)
     return rated.select("UserID", "MovieID", "Rating", "Gender", "Age")
 
 
-def users_with_occupations(t: Tables, max_broadcast_rows: int | None = None) -> DataFrame:
-    """Every user with the name of their occupation (the occupation list is broadcast)."""
-    return join_dimension(t.users, t.occupations, "OccupationID", max_broadcast_rows=max_broadcast_rows)
+def users_with_occupations(t: Tables) -> DataFrame:
+    """Every user with the name of their occupation."""
+    return join_dimension(t.users, t.occupations, "OccupationID")
 
 
-def movie_viewers(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int | None = None) -> DataFrame:
+def movie_viewers(t: Tables, movie=DEFAULT_MOVIE) -> DataFrame:
     """Profile (gender, age band, occupation) of everyone who rated ``movie``.
 
-    The movie filter reaches the ratings scan.  One movie may hold a large
-    share of all ratings, so its raters are never assumed small: it is the
-    user and occupation lists that are broadcast, each after its size check.
+    The movie filter reaches the ratings scan, and only the columns of the
+    answer are read.  One movie may hold a large share of all ratings, so
+    its raters are never assumed small.
     """
-    # Rating and time stay on the raters until after the join: they make a
-    # hot user's rows differ, which the salted shuffle join needs to spread them.
-    raters = where_equals(t.ratings, "MovieID", movie).select("UserID", "Rating", "Timestamp")
-    profiles = join_dimension(raters, t.users, "UserID", max_broadcast_rows=max_broadcast_rows)
-    named = join_dimension(profiles, t.occupations, "OccupationID", max_broadcast_rows=max_broadcast_rows)
+    raters = where_equals(t.ratings, "MovieID", movie).select("UserID")
+    people = t.users.select("UserID", "Gender", "Age", "OccupationID")
+    profiles = join_dimension(raters, people, "UserID")
+    named = join_dimension(profiles, t.occupations, "OccupationID")
     return named.select("UserID", "Gender", "Age", "OccupationName")
 
 
-def demographics(t: Tables, movie=DEFAULT_MOVIE, max_broadcast_rows: int | None = None) -> DataFrame:
+def demographics(t: Tables, movie=DEFAULT_MOVIE) -> DataFrame:
     """Head-count of the raters of ``movie`` by gender and age band."""
-    raters = where_equals(t.ratings, "MovieID", movie).select("UserID", "Rating", "Timestamp")
+    raters = where_equals(t.ratings, "MovieID", movie).select("UserID")
     profiles = t.users.select("UserID", "Gender", "Age")
-    rated = join_dimension(raters, profiles, "UserID", max_broadcast_rows=max_broadcast_rows)
+    rated = join_dimension(raters, profiles, "UserID")
     return count_by(rated, ["Gender", "Age"])
 
 
@@ -102,7 +105,6 @@ def top_rated_by_gender(
     *,
     suffix: bool = False,
     string_id_desc: bool = False,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Best average among ratings by one gender.
 
@@ -111,15 +113,15 @@ def top_rated_by_gender(
     by MovieID ascending.
     """
     raters = _gender_users(t.users, gender, suffix)
-    rated = join_dimension(t.ratings, raters, "UserID", max_broadcast_rows=max_broadcast_rows)
+    rated = join_dimension(t.ratings, raters, "UserID")
     tie = as_string_id("MovieID").desc() if string_id_desc else F.col("MovieID").asc()
     return top_k(avg_by(rated, "MovieID"), [F.col("avg_rating").desc(), tie], k)
 
 
-def top_rated_per_gender(t: Tables, k: int = DEFAULT_K, max_broadcast_rows: int | None = None) -> DataFrame:
+def top_rated_per_gender(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     """The same ranking for every gender at once: one pass, one top-k per group."""
     genders = t.users.select("UserID", "Gender")
-    rated = join_dimension(t.ratings, genders, "UserID", max_broadcast_rows=max_broadcast_rows)
+    rated = join_dimension(t.ratings, genders, "UserID")
     averages = avg_by(rated, ["Gender", "MovieID"])
     ranked = top_k_per_group(averages, "Gender", [F.col("avg_rating").desc(), F.col("MovieID").asc()], k)
     return ranked.select("Gender", "MovieID", "avg_rating", F.col("rank").cast("int").alias("rank"))
@@ -129,7 +131,7 @@ def top_rated_per_gender(t: Tables, k: int = DEFAULT_K, max_broadcast_rows: int
 
 
 def cohort_top_titles(
-    t: Tables, age: str, k: int = DEFAULT_K, max_broadcast_rows: int | None = None
+    t: Tables, age: str, k: int = DEFAULT_K
 ) -> DataFrame:
     """Most-rated titles in an age band: count per movie, then the titles.
 
@@ -138,7 +140,7 @@ def cohort_top_titles(
     title join sees one row per movie, not one per rating.
     """
     cohort = _cohort_users(t.users, age)
-    rated = join_dimension(t.ratings, cohort, "UserID", max_broadcast_rows=max_broadcast_rows)
+    rated = join_dimension(t.ratings, cohort, "UserID")
     counted = count_by(rated, "MovieID").join(t.movies, "MovieID")
     return top_k(counted, [F.col("cnt").desc(), F.col("MovieID").asc()], k).select("Title", "cnt")
 
@@ -149,7 +151,6 @@ def cohort_top_movies_semi(
     k: int = DEFAULT_K,
     *,
     seq: str | None = None,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Most-rated movies in an age band by set membership, titles looked up last.
 
@@ -157,19 +158,19 @@ def cohort_top_movies_semi(
     with a NULL title; a movie listed twice shows one title, the last one in
     file order when ``seq`` is given.  Returns MovieID, cnt, Title.
     """
-    rated = semi_join(t.ratings, _cohort_users(t.users, age), "UserID", max_broadcast_rows=max_broadcast_rows)
+    rated = semi_join(t.ratings, _cohort_users(t.users, age), "UserID")
     top = top_k(count_by(rated, "MovieID"), [F.col("cnt").desc(), F.col("MovieID").asc()], k)
-    return lookup_after_top(top, t.movies, "MovieID", "Title", k, seq=seq).select("MovieID", "cnt", "Title")
+    return lookup_after_top(top, t.movies, "MovieID", "Title", seq=seq).select("MovieID", "cnt", "Title")
 
 
-def cohort_ratings(t: Tables, age: str, max_broadcast_rows: int | None = None) -> DataFrame:
+def cohort_ratings(t: Tables, age: str) -> DataFrame:
     """Ratings given by the users of one age band."""
-    return semi_join(t.ratings, _cohort_users(t.users, age), "UserID", max_broadcast_rows=max_broadcast_rows)
+    return semi_join(t.ratings, _cohort_users(t.users, age), "UserID")
 
 
-def cohort_user_ids(t: Tables, age: str) -> DataFrame:
-    """The set of user ids in an age band."""
-    return distinct_values(_cohort_users(t.users, age), "UserID")
+def cohort_raters(t: Tables, age: str) -> DataFrame:
+    """The set of user ids of one age band that have rated anything."""
+    return distinct_values(cohort_ratings(t, age), "UserID")
 
 
 def age_band_counts(t: Tables) -> DataFrame:
@@ -177,6 +178,12 @@ def age_band_counts(t: Tables) -> DataFrame:
     return count_by(t.users, "Age").select("Age", age_label(F.col("Age")).alias("AgeLabel"), "cnt")
 
 
+def raw_age_bands(people: DataFrame, years: str) -> DataFrame:
+    """Rows per age band, from ages in whole years (NULL ages are a band of their own: NULL)."""
+    banded = people.select(age_band(F.col(years)).alias("Age"))
+    return count_by(banded, "Age").select("Age", age_label(F.col("Age")).alias("AgeLabel"), "cnt")
+
+
 # --- dimensions and recency ------------------------------------------------
 
 

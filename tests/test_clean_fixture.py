@@ -85,8 +85,8 @@ def test_age_band_counts_with_labels(clean_tables):
     assert got == [("18", "18-24", 2), ("25", "25-34", 2)]
 
 
-def test_distinct_cohort_users(clean_tables):
-    assert rows(A.cohort_user_ids(clean_tables, "18")) == [("1",), ("2",)]
+def test_distinct_cohort_raters(clean_tables):
+    assert rows(A.cohort_raters(clean_tables, "18")) == [("1",), ("2",)]
 
 
 def test_per_gender_window_equals_two_filters(clean_tables):

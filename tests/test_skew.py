@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from rateweave.operators import count_by
+from rateweave.operators import count_by, join_dimension
 from rateweave.plans import analyses as A
 from rateweave.plans import plan_text
 from rateweave.sources.tables import Tables
@@ -30,18 +31,21 @@ def _skewed(spark, n=240_000, users=4_000):
     return Tables(ratings, people, movies, occupations)
 
 
+# Every side shuffled, and partitions called skewed at a size that small data reaches.
+SHUFFLED = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "256k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64k",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+}
+
+
 def test_hot_user_partition_is_split_and_results_match(spark):
     t = _skewed(spark)
     expected = rows(A.top_rated_by_gender(t, "M"))  # broadcast path
-    settings = {
-        "spark__sql__autoBroadcastJoinThreshold": "-1",
-        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "256k",
-        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
-        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64k",
-        "spark__sql__adaptive__coalescePartitions__enabled": "false",
-    }
-    with conf(spark, **settings):
-        df = A.top_rated_by_gender(t, "M", max_broadcast_rows=0)
+    with conf(spark, **SHUFFLED):
+        df = A.top_rated_by_gender(t, "M")
         got = rows(df)
         text = plan_text(df)
     assert got == expected
@@ -60,17 +64,34 @@ def test_hot_movie_counts_combine_before_the_shuffle(spark):
 def test_hot_user_semi_join_is_split_too(spark):
     t = _skewed(spark)
     expected = rows(count_by(A.cohort_ratings(t, "18"), "MovieID"))
-    settings = {
-        "spark__sql__autoBroadcastJoinThreshold": "-1",
-        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "256k",
-        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
-        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64k",
-        "spark__sql__adaptive__coalescePartitions__enabled": "false",
-    }
-    with conf(spark, **settings):
-        df = count_by(A.cohort_ratings(t, "18", max_broadcast_rows=0), "MovieID")
+    with conf(spark, **SHUFFLED):
+        df = count_by(A.cohort_ratings(t, "18"), "MovieID")
         got = rows(df)
         text = plan_text(df)
     assert got == expected
     assert sum(cnt for _, cnt in got) == t.ratings.where(F.col("UserID") % 3 == 0).count()
     assert "SortMergeJoin(skew=true) LeftSemi" in text
+
+
+def test_hot_cohort_ranking_is_split(spark):
+    t = _skewed(spark)
+    expected = rows(A.cohort_top_titles(t, "18"))
+    with conf(spark, **SHUFFLED):
+        df = A.cohort_top_titles(t, "18")
+        assert rows(df) == expected
+        assert "SortMergeJoin(skew=true)" in plan_text(df)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_rows_survive_changing_row_order_without_exchange_reuse(spark, how):
+    """Rows arrive in another order at every evaluation and no exchange is shared."""
+    fact = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 900).alias("k")
+    )
+    fact = fact.orderBy(F.rand())
+    dim = spark.range(900).select(F.col("id").alias("k"), F.lit("d").alias("d"))
+    null, matched = 100_000, 200_000
+    want = {"inner": matched, "left": matched + null, "left_semi": matched, "left_anti": null}[how]
+    with conf(spark, **SHUFFLED, spark__sql__exchange__reuse="false"):
+        for _ in range(2):
+            assert join_dimension(fact, dim, "k", how).count() == want

@@ -1,12 +1,11 @@
 """Run the analyses on a generated skewed dataset larger than the test tables.
 
-    python tools/scale_smoke.py [n_ratings] [n_users] [n_movies] [nosalt]
+    python tools/scale_smoke.py [n_ratings] [n_users] [n_movies]
 
-One user holds a third of all ratings and one movie a tenth.  The broadcast
-bound is set below the users table, so user joins take the shuffle path, as
-with a users table far above the bound.  Prints seconds per analysis and
-whether the hot-user join was split by adaptive execution.  ``nosalt`` turns
-hot-key salting off, to compare.
+One user holds a third of all ratings and one movie a tenth.  Size-based
+broadcast is off, so user joins take the shuffle path, as with a users table
+far above the threshold.  Prints seconds per analysis and whether the
+hot-user join was split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -50,13 +49,11 @@ def main(argv: list[str]) -> int:
     n = int(argv[0]) if argv else 30_000_000
     users = int(argv[1]) if len(argv) > 1 else 1_000_000
     movies = int(argv[2]) if len(argv) > 2 else 100_000
-    salt = "false" if "nosalt" in argv[3:] else "true"
     spark = build_session(
         "local[8]",
         shuffle_partitions=64,
         extra={
-            "rateweave.broadcast.maxRows": str(users // 10),
-            "rateweave.skew.saltHotKeys": salt,
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.driver.memory": "8g",
         },
     )
