@@ -7,6 +7,7 @@ session (with the same settings) is used instead.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -61,28 +62,43 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can see, taken from ``spark.checkpoint.dir``.
 
-    A local-mode session without the setting (tests, the bench) gets a fresh
-    scratch folder; any other session without it is an error, because a
-    machine-local folder would lose data with its executor.
+    A one-process local session without the setting gets a scratch folder of
+    its own, removed when it ends; any other session without it is an error,
+    because a machine-local folder would lose data with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session has no local context
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if configured:
-        return configured
-    if sc is None or not sc.master.startswith("local"):
+    if sc is None or not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", sc.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="rateweave-shared-"))
+    remove_at_end(spark, sc.getCheckpointDir())
     return sc.getCheckpointDir()
 
 
+def remove_at_end(spark: SparkSession, folder: str) -> None:
+    """Make ``folder`` and have the driver's file system delete it when the application ends."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server's owner cleans up
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    files = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, never-used location under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, never-used location under the shared folder, removed when the application ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    remove_at_end(spark, folder)
+    return f"{folder}/{name}"
 
 
 def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
