@@ -8,7 +8,8 @@ Two modes, because the source data is hand-made and can be dirty:
 * ``strict``: a short line, a blank line or a value that does not cast fails
   the job (the reference program failed too, with an index or number error).
 * ``permissive``: blank lines are dropped; every other bad line is kept with
-  NULLs and a reason in ``_reject``; ``accepted``/``rejected`` split them.
+  NULLs, a reason in ``_reject`` and its raw text in ``_line``;
+  ``accepted``/``rejected`` split them.
 
 Either way, extra fields are ignored and a trailing empty field is kept as
 ``''`` (the JVM's ``split`` would have dropped it and then failed).
@@ -16,15 +17,17 @@ Either way, extra fields are ignored and a trailing empty field is kept as
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from rateweave.functions.strings import jvm_trim
+from rateweave.functions.strings import jvm_trim, trim_common, trim_rest
 
 DEFAULT_SEP = "::"
 REJECT = "_reject"
-_UTF8 = {"utf-8", "utf8"}
+RAW_LINE = "_line"
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str = "utf-8", seq_col: str | None = None) -> DataFrame:
@@ -32,23 +35,13 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "utf-8", seq_col:
 
     ``seq_col`` adds each line's position in file order (file path, split
     start, then position inside the split), for last-one-wins dimensions.
-    Other encodings go through the CSV source, the one text reader that
-    decodes them; a line that holds its stand-in separator U+0001 comes back
-    NULL and is treated as malformed.
+    The text source finds lines by their bytes, so it serves every encoding
+    of one byte a character alike: the bytes are read as ISO-8859-1 and
+    those above ASCII mapped to the encoding's characters.
     """
-    if encoding.lower() in _UTF8:
-        lines = spark.read.text(path)
-    else:
-        lines = (
-            spark.read.schema("value string, _overflow string")
-            .option("sep", "\u0001")
-            .option("quote", "")
-            .option("escape", "")
-            .option("encoding", encoding)
-            .option("mode", "PERMISSIVE")
-            .csv(path)
-        )
-        lines = lines.select(F.when(F.col("_overflow").isNull(), F.col("value")).alias("value"))
+    lines = spark.read.text(path)
+    if codecs.lookup(encoding).name != "utf-8":
+        lines = lines.withColumn("value", _single_byte(F.col("value"), encoding))
     if seq_col is None:
         return lines
     position = F.struct(
@@ -59,6 +52,22 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "utf-8", seq_col:
     return lines.select("value", position.alias(seq_col))
 
 
+def _single_byte(raw: Column, encoding: str) -> Column:
+    """Raw bytes decoded by an encoding of one byte a character.  A byte that
+    stands for nothing becomes U+FFFD."""
+    if b"".join(chr(c).encode(encoding, "replace") for c in range(128)) != bytes(range(128)):
+        raise ValueError(f"{encoding} is not an extension of ASCII by single bytes; convert the files to UTF-8")
+    upper = [bytes([b]).decode(encoding, "replace") for b in range(128, 256)]
+    pairs = [bytes([b, c]).decode(encoding, "replace") for b in range(128, 256) for c in (0x40, 0xA1)]
+    if any(len(c) != 1 for c in upper) or any(len(c) != 2 for c in pairs):
+        raise ValueError(f"{encoding} is not an encoding of one byte a character; convert the files to UTF-8")
+    text = F.decode(raw.cast("binary"), "ISO-8859-1")
+    changed = [(chr(b), c) for b, c in zip(range(128, 256), upper) if chr(b) != c]
+    if not changed:
+        return text
+    return F.translate(text, "".join(a for a, _ in changed), "".join(c for _, c in changed))
+
+
 def parse_lines(
     lines: DataFrame,
     schema: StructType,
@@ -71,8 +80,8 @@ def parse_lines(
     """Typed columns of ``schema`` from the delimited ``value`` column.
 
     Columns of ``lines`` other than ``value_col`` are carried through.  The
-    work is staged (split, then trim each field, then cast each field, then
-    check) so that every step runs once per field, not once per use.
+    work is staged (split, then trim each field in two steps, then cast each
+    field, then check) so that every step runs once per field, not once per use.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -86,9 +95,12 @@ def parse_lines(
     fields = []
     for i in range(width):
         raw = F.get(F.col("_parts"), i)
-        fields.append((jvm_trim(raw) if trim else raw).alias(f"_f{i}"))
+        fields.append((trim_common(raw) if trim else raw).alias(f"_f{i}"))
     short = F.col("_line").isNull() | (F.size(F.col("_parts")) < F.lit(width))
     staged = staged.select(*carried, "_line", short.alias("_short"), *fields)
+    if trim:
+        rest = [trim_rest(F.col(f"_f{i}")).alias(f"_f{i}") for i in range(width)]
+        staged = staged.select(*carried, "_line", "_short", *rest)
 
     casts = []
     for i, field in enumerate(schema.fields):
@@ -102,13 +114,13 @@ def parse_lines(
     for i, field in enumerate(schema.fields):
         value = F.col(f"_v{i}")
         failed = F.col(f"_f{i}").isNotNull() & value.isNull()
+        text_field = isinstance(field.dataType, StringType)
         if mode == "strict":
-            value = (
-                F.when(short, _fail(f"expected {width} fields"))
-                .when(failed, _fail(f"field {field.name} is not a {field.dataType.simpleString()}"))
-                .otherwise(value)
-            )
-        elif not isinstance(field.dataType, StringType):
+            checked = F.when(short, _fail(f"expected {width} fields"))
+            if not text_field:
+                checked = checked.when(failed, _fail(f"field {field.name} is not a {field.dataType.simpleString()}"))
+            value = checked.otherwise(value)
+        elif not text_field:
             bad_casts.append(F.when(failed, F.lit(field.name)))
         typed.append(value.alias(field.name))
 
@@ -118,7 +130,7 @@ def parse_lines(
     if bad_casts:
         listed = F.concat_ws(",", *bad_casts)
         reason = reason.when(listed != F.lit(""), F.concat(F.lit("bad value: "), listed))
-    return staged.select(*carried, *typed, reason.alias(REJECT))
+    return staged.select(*carried, *typed, reason.alias(REJECT), F.when(reason.isNotNull(), F.col("_line")).alias(RAW_LINE))
 
 
 # A separator of several characters makes ``split`` compile its regular
@@ -138,12 +150,12 @@ def split_literal(line: Column, sep: str) -> Column:
 
 
 def _fail(what: str) -> Column:
-    line = F.coalesce(F.substring(F.col("_line"), 1, 200), F.lit("<unreadable line>"))
+    line = F.coalesce(F.col("_line"), F.lit("<no line>"))
     return F.raise_error(F.concat(F.lit(f"malformed line ({what}): "), line))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col(REJECT).isNull()).drop(REJECT)
+    return parsed.where(F.col(REJECT).isNull()).drop(REJECT, RAW_LINE)
 
 
 def rejected(parsed: DataFrame) -> DataFrame:

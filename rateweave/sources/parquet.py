@@ -8,25 +8,32 @@ can use for its join choice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rateweave.schemas import DECLARED
+from rateweave.session import fresh_path
 from rateweave.sources.delimited import accepted, rejected
 from rateweave.sources.tables import Tables, load_dat_tables
 
 RELATIONS = ("ratings", "users", "movies", "occupations")
+# A movie's place in file order, as ``delimited.read_lines`` gives it.
+MOVIE_SEQ = "seq"
+SEQ_TYPE = StructType(
+    [StructField("file", StringType()), StructField("block", LongType()), StructField("row", LongType())]
+)
 
 
 def write_parquet(
     df: DataFrame,
     path: str,
     *,
-    mode: str = "overwrite",
+    mode: str = "errorifexists",
     partition_by: list[str] | None = None,
     sort_within: list[str] | None = None,
 ) -> str:
     """Write ``df`` as Parquet; ``sort_within`` clusters rows inside each file
     (a local sort, no shuffle) so min/max statistics let later filters skip
-    row groups."""
+    row groups.  An existing folder is an error unless ``mode`` says otherwise."""
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     writer = df.write.mode(mode)
@@ -40,30 +47,46 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def convert_to_parquet(spark: SparkSession, base_dir: str, out_dir: str, *, mode: str = "strict") -> Tables:
+def convert_to_parquet(
+    spark: SparkSession,
+    base_dir: str,
+    out_dir: str,
+    *,
+    mode: str = "strict",
+    trim: bool = True,
+    encoding: str = "utf-8",
+    overwrite: bool = False,
+) -> Tables:
     """Parse the four ``::`` files once and store them as Parquet under ``out_dir``.
 
     Ratings are clustered by MovieID inside each file, the key of the most
-    selective lookups.  In permissive mode the rejected lines, with their
-    reason, go to ``_rejects/<relation>`` beside the tables.  Returns the
-    tables read back from Parquet.
+    selective lookups.  Movies keep their place in the file (``MOVIE_SEQ``),
+    so that of a movie listed twice the last title wins here too.  In
+    permissive mode the parsed rows go to the shared folder first and the
+    rejected lines, with their reason and raw text, to ``_rejects/<relation>``
+    beside the tables.  An existing ``out_dir`` is an error unless
+    ``overwrite``.  Returns the tables read back from Parquet.
 
     ``.dat`` files compressed with a non-splittable codec (gzip) are read one
     task per file; keep large inputs uncompressed or splittable.
     """
-    tables = load_dat_tables(spark, base_dir, mode=mode)
+    tables = load_dat_tables(spark, base_dir, mode=mode, trim=trim, encoding=encoding, movie_seq=MOVIE_SEQ)
     out = out_dir.rstrip("/")
+    written = "overwrite" if overwrite else "errorifexists"
     layout = {"ratings": ["MovieID"]}
     for name in RELATIONS:
         frame = getattr(tables, name)
         if mode == "permissive":
-            write_parquet(rejected(frame), f"{out}/_rejects/{name}")
+            frame = spark.read.parquet(write_parquet(frame, fresh_path(spark, f"parsed-{name}")))
+            write_parquet(rejected(frame), f"{out}/_rejects/{name}", mode=written)
             frame = accepted(frame)
-        write_parquet(frame, f"{out}/{name}", sort_within=layout.get(name))
+        write_parquet(frame, f"{out}/{name}", mode=written, sort_within=layout.get(name))
     return load_converted(spark, out)
 
 
 def load_converted(spark: SparkSession, out_dir: str) -> Tables:
-    """The four relations as ``convert_to_parquet`` stored them, under their declared schemas."""
+    """The four relations as ``convert_to_parquet`` stored them, under their
+    declared schemas, movies with their ``MOVIE_SEQ``."""
     out = out_dir.rstrip("/")
-    return Tables(*(spark.read.schema(DECLARED[name]).parquet(f"{out}/{name}") for name in RELATIONS))
+    stored = {**DECLARED, "movies": StructType(DECLARED["movies"].fields + [StructField(MOVIE_SEQ, SEQ_TYPE)])}
+    return Tables(*(spark.read.schema(stored[name]).parquet(f"{out}/{name}") for name in RELATIONS))

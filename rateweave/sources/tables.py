@@ -89,12 +89,14 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(ratings, users, movies, occupations)
 
 
+# --- fixed values: the dataset's file names.
 DAT_FILES = {
     "ratings": "ratings.dat",
     "users": "users.dat",
     "movies": "movies.dat",
     "occupations": "occupations.dat",
 }
+# --- end of fixed values.
 
 
 def load_dat_tables(
@@ -108,7 +110,7 @@ def load_dat_tables(
 ) -> Tables:
     """The four ``::`` files under ``base_dir`` (any Hadoop file system URI).
 
-    In permissive mode the frames carry ``_reject``; pass them through
+    In permissive mode the frames carry ``_reject`` and ``_line``; pass them through
     ``delimited.accepted`` before querying.  ``movie_seq`` names a file-order
     column on movies, for last-one-wins title lookups.
     """
@@ -128,5 +130,5 @@ def load_dat_tables(
 
 
 def accepted_tables(t: Tables) -> Tables:
-    """The good rows of permissively loaded tables (``_reject`` removed)."""
+    """The good rows of permissively loaded tables (``_reject`` and ``_line`` removed)."""
     return Tables(*(accepted(getattr(t, name)) for name in DAT_FILES))

@@ -34,3 +34,21 @@ def test_convert_then_query_the_parquet_copy(tmp_path):
     shown = subprocess.run(base + ["--converted", out, "most_popular"], cwd=REPO, capture_output=True, text=True)
     assert shown.returncode == 0, shown.stderr[-2000:]
     assert "|10     |3  |" in shown.stdout
+
+
+def test_convert_options(tmp_path):
+    folder = write_dat(tmp_path / "dat", CLEAN)
+    with open(f"{folder}/occupations.dat", "wb") as handle:
+        handle.write("4:: étudiant\n".encode("latin-1"))
+    out = str(tmp_path / "pq")
+    command = [sys.executable, "-m", "rateweave", "--master", "local[2]", "--dat", folder, "convert", "--out", out]
+    options = ["--encoding", "ISO-8859-1", "--no-trim"]
+    first = subprocess.run(command + options, cwd=REPO, capture_output=True, text=True)
+    assert first.returncode == 0, first.stderr[-2000:]
+    again = subprocess.run(command + options, cwd=REPO, capture_output=True, text=True)
+    assert again.returncode != 0 and "already exists" in again.stderr
+    third = subprocess.run(command + options + ["--overwrite"], cwd=REPO, capture_output=True, text=True)
+    assert third.returncode == 0, third.stderr[-2000:]
+    import pyarrow.dataset as ds
+
+    assert ds.dataset(f"{out}/occupations").to_table()["OccupationName"].to_pylist() == [" étudiant"]

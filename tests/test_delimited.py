@@ -34,8 +34,8 @@ def test_short_row_permissive_rejects(spark, tmp_path):
     df = _read(spark, tmp_path, "users", ["1::F::18::4::1", "6::M::18"], schemas.USERS, mode="permissive")
     assert rows(accepted(df)) == [("1", "F", "18", "4", "1")]
     bad = rejected(df).collect()
-    got = [(r["UserID"], r["Age"], r["OccupationID"], r["_reject"]) for r in bad]
-    assert got == [("6", "18", None, "expected 5 fields")]
+    got = [(r["UserID"], r["Age"], r["OccupationID"], r["_reject"], r["_line"]) for r in bad]
+    assert got == [("6", "18", None, "expected 5 fields", "6::M::18")]
 
 
 def test_extra_field_is_ignored(spark, tmp_path):
@@ -96,6 +96,67 @@ def test_other_encodings(spark, tmp_path):
     assert rows(df, "Title") == [("Café (1990)",)]
 
 
+@pytest.mark.parametrize("encoding, text", [("windows-1252", "Zoë’s – €5"), ("ISO-8859-15", "Œuvre €"), ("ISO-8859-1", "Ünï"), ("utf8", "日本")])
+def test_single_byte_encodings(spark, tmp_path, encoding, text):
+    path = tmp_path / "movies.dat"
+    path.write_bytes(f"1::{text}::D\n2::a\u0001b::D\n".encode(encoding))
+    df = read_delimited(spark, str(path), schemas.MOVIES, encoding=encoding)
+    assert rows(df, "Title") == sorted([(text,), ("a\u0001b",)])
+
+
+def test_multi_byte_encodings_are_refused(spark, tmp_path):
+    (tmp_path / "m.dat").write_bytes(b"")
+    for encoding in ("utf-16", "shift_jis", "gbk"):
+        with pytest.raises(ValueError, match="UTF-8"):
+            read_delimited(spark, str(tmp_path / "m.dat"), schemas.MOVIES, encoding=encoding)
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "ISO-8859-1"])
+def test_blank_lines_are_the_same_in_every_encoding(spark, tmp_path, encoding):
+    path = tmp_path / "occ.dat"
+    path.write_bytes(b"0::other\n\n1::student\n")
+    strict = read_delimited(spark, str(path), schemas.OCCUPATIONS, encoding=encoding)
+    with pytest.raises(ERRORS, match="expected 2 fields"):
+        strict.collect()
+    good = accepted(read_delimited(spark, str(path), schemas.OCCUPATIONS, encoding=encoding, mode="permissive"))
+    assert rows(good) == [("0", "other"), ("1", "student")]
+
+
+def test_rare_white_space_is_trimmed_after_the_common(spark, tmp_path):
+    df = _read(spark, tmp_path, "occ", [" \t\u0002 4 \u000b::\u0001 x y \u001f\t"], schemas.OCCUPATIONS)
+    assert rows(df) == [("4", "x y")]
+
+
+def test_bad_time_sorts_last_instead_of_failing(spark, tmp_path):
+    from rateweave.plans import analyses as A
+    from rateweave.sources.tables import accepted_tables, load_dat_tables
+
+    folder = write_dat(tmp_path / "times", {**CLEAN, "ratings.dat": ["1::10::4::abc", "2::10::4::7", "3::10::4::20"]})
+    t = accepted_tables(load_dat_tables(spark, folder, mode="permissive"))
+    assert [r["UserID"] for r in A.latest_reviews(t).collect()] == ["3", "2", "1"]
+
+
+def test_converted_movies_keep_file_order(spark, tmp_path):
+    from rateweave.plans import analyses as A
+    from rateweave.sources.tables import load_dat_tables
+
+    folder = write_dat(tmp_path / "dat", {**CLEAN, "movies.dat": ["10::Zeta::D", "20::Beta::D", "10::Alpha::D"]})
+    for mode in ("strict", "permissive"):
+        converted = convert_to_parquet(spark, folder, str(tmp_path / mode), mode=mode)
+        original = load_dat_tables(spark, folder, movie_seq="seq")
+        for t in (converted, original):
+            assert rows(A.titles_last_wins(t.movies, "seq")) == [("10", "Alpha"), ("20", "Beta")]
+            assert ("10", "Alpha") in rows(A.cohort_top_movies_semi(t, "18", seq="seq"), "MovieID", "Title")
+
+
+def test_conversion_refuses_to_overwrite(spark, tmp_path):
+    folder = write_dat(tmp_path / "dat", CLEAN)
+    convert_to_parquet(spark, folder, str(tmp_path / "pq"))
+    with pytest.raises(PySparkException, match="already exists"):
+        convert_to_parquet(spark, folder, str(tmp_path / "pq"))
+    assert convert_to_parquet(spark, folder, str(tmp_path / "pq"), overwrite=True).ratings.count() == 7
+
+
 def test_file_order_sequence(spark, tmp_path):
     folder = write_dat(tmp_path / "m", {"movies.dat": ["10::Alpha::D", "10::Alpha copy::D", "20::Beta::D"]})
     lines = read_lines(spark, f"{folder}/movies.dat", seq_col="seq")
@@ -119,7 +180,8 @@ def test_permissive_conversion_keeps_rejects_aside(spark, tmp_path):
     tables = convert_to_parquet(spark, folder, str(tmp_path / "pq"), mode="permissive")
     assert tables.ratings.count() == len(CLEAN["ratings.dat"])
     bad = spark.read.parquet(str(tmp_path / "pq" / "_rejects" / "ratings"))
-    assert sorted(r["_reject"] for r in bad.collect()) == ["bad value: Rating", "expected 4 fields"]
+    got = sorted((r["_reject"], r["_line"]) for r in bad.collect())
+    assert got == [("bad value: Rating", "9::10::five::1"), ("expected 4 fields", "9::10")]
     clean = accepted_tables(load_dat_tables(spark, folder, mode="permissive"))
     assert "_reject" not in clean.ratings.columns and clean.ratings.count() == len(CLEAN["ratings.dat"])
 
