@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from rateweave.schemas import conform
 from rateweave.session import fresh_path
-from rateweave.sources.delimited import DEFAULT_SEP, parse_lines, to_lines
+from rateweave.sources.delimited import DEFAULT_SEP, parse_lines, read_delimited, to_lines
 from rateweave.sources.parquet import read_parquet, write_parquet
 
 
@@ -40,3 +40,17 @@ def parquet_roundtrip(spark: SparkSession, df: DataFrame, name: str = "roundtrip
     """Write ``df`` to a fresh folder under the shared folder and read it back."""
     path = write_parquet(df, fresh_path(spark, name))
     return read_parquet(spark, path)
+
+
+def text_roundtrip(
+    spark: SparkSession, listings: list[DataFrame], schema: StructType, name: str = "lines", seq_col: str | None = None
+) -> DataFrame:
+    """``listings`` written as files of ``::`` lines, one folder each, and read back in file order.
+
+    Folders sort by their number, so a later listing's rows come after an
+    earlier one's.  The files go under the shared folder.
+    """
+    base = fresh_path(spark, name)
+    for n, df in enumerate(listings):
+        to_lines(df, [f.name for f in schema.fields]).write.text(f"{base}/{n:06d}")
+    return read_delimited(spark, f"{base}/*", schema, seq_col=seq_col)
