@@ -6,7 +6,8 @@ exactly zero, so a model is a short list of (bucket, weight) pairs.
 
 Training takes a bounded sample of the labelled rows (``max_rows``, documented
 by each classifier).  Their features are made in parallel; one task then makes
-the sequential updates over the sparse rows, a few MB whatever the corpus.  Of
+the sequential updates over the sparse rows, at most ``MAX_FEATURES`` of them
+(160 MB) whatever the corpus.  Of
 the corpus, only the model's weights ever reach the driver (at most
 ``2 ** bits`` of them).
 """
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Features that training holds in memory at most; rows beyond, in order of their ids' hashes, are not learnt from.
+MAX_FEATURES = 40_000_000
 BIAS = -1  # the bucket under which a model's bias is listed
 
 
@@ -99,11 +102,14 @@ def train(sample: DataFrame, features: Callable[[str], np.ndarray], p: FTRL) ->
         return text.map(features)
 
     def learn(batches):
-        rows = [
-            (np.array(f, dtype=np.int64), y)
-            for b in batches
-            for f, y in zip(b.column("features").to_pylist(), b.column("label").to_pylist())
-        ]
+        rows, held = [], 0
+        for b in batches:
+            lists = b.column("features")
+            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+            for end, size, label in zip(ends, lists.value_lengths().to_numpy(), b.column("label").to_numpy()):
+                held += size
+                if held <= MAX_FEATURES:
+                    rows.append((flat[end - size : end], int(label)))
         found = fit(rows, p) if rows else {BIAS: 0.0}
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(list(found), pa.int64()), "weight": list(found.values())})
 
