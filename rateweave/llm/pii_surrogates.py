@@ -60,12 +60,13 @@ _GENDER = {name: g for g, names in GIVEN.items() for name in names.split()}
 _PATTERNS = {
     "email": re.compile(r"[\w.+-]*[\w+-]@[A-Za-z0-9](?:[\w-]*\.)+[A-Za-z]{2,}"),
     "phone": re.compile(
-        r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
+        r"(?<![\w+.-])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+1 ?\d{10}"
         r"|\+[2-9]\d{0,2}(?:[ .-]?(?:\(\d{1,4}\)|\d{2,4})){2,5})(?!\w|\.\d)"
     ),
     "card": re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
+    "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     "secret": re.compile(
         r"\bAKIA([0-9A-Z]{16})\b|(?i:\b(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"']?)([A-Za-z0-9+/_-]{8,})"
     ),
@@ -93,6 +94,12 @@ def luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
+def iban_check(account: str) -> str:
+    """The two check digits of an international bank account number."""
+    digits = "".join(str(int(c, 36)) for c in account[4:] + account[:2] + "00")
+    return f"{98 - int(digits) % 97:02d}"
+
+
 def _script(word: str) -> str:
     c = word[0].lower()
     return "cyrillic" if "а" <= c <= "я" or c == "ё" else "greek" if "ά" <= c <= "ώ" else "latin"
@@ -110,9 +117,9 @@ def _name_parts(start: int, words: str, gender: str) -> Iterator[Entity]:
 def detect(text: str | None) -> list[Entity]:
     """Entities of a text, in order and apart from each other; none for a null text.
 
-    E-mail addresses, international phone numbers, card numbers (13 to 19
-    digits with a right check digit), IPv4 addresses, US social security
-    numbers, credentials, and names after an honorific or with a known given
+    E-mail addresses, international and North American phone numbers, card
+    numbers (13 to 19 digits) and bank accounts (IBAN) with right check
+    digits, IPv4 addresses, US social security numbers, credentials, and names after an honorific or with a known given
     name.  Where two overlap, the one that begins first, then the longer one.
     """
     if not text or not any(h in text for h in _HINTS) and not any(h in text for h in _SECRET_HINTS):
@@ -122,11 +129,17 @@ def detect(text: str | None) -> list[Entity]:
     if "@" in text:
         found += [Entity(m.start(), m.end(), "email", m[0].lower()) for m in _PATTERNS["email"].finditer(text)]
     if digits:
+        for m in _PATTERNS["iban"].finditer(text):
+            plain = m[0].replace(" ", "")
+            if 15 <= len(plain) <= 34 and iban_check(plain) == plain[2:4]:
+                found.append(Entity(m.start(), m.end(), "iban", plain))
         for kind in ("phone", "card", "ssn"):
             for m in _PATTERNS[kind].finditer(text):
                 plain = re.sub(r"\D", "", m[0])
                 if kind == "card" and luhn_digit(plain[:-1]) != plain[-1] or kind == "phone" and len(plain) < 8:
                     continue
+                if kind == "phone" and len(plain) == 10 and "+" not in m[0]:
+                    plain = "1" + plain  # the same number with and without its country
                 found.append(Entity(m.start(), m.end(), kind, plain))
         found += [Entity(m.start(), m.end(), "ip", m[0]) for m in _PATTERNS["ip"].finditer(text)]
     if any(h in text for h in _SECRET_HINTS):
@@ -200,6 +213,9 @@ def stand_in(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     if kind == "card":
         payload = canonical[0] + _same_classes(canonical[1:-1], stream)
         return payload + luhn_digit(payload)
+    if kind == "iban":
+        account = canonical[:2] + "00" + _same_classes(canonical[4:], stream)
+        return canonical[:2] + iban_check(account) + account[4:]
     if kind == "ip":
         octets = canonical.split(".")
         kept = 0
@@ -220,8 +236,11 @@ def stand_in(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
 
 def rendered(written: str, kind: str, surrogate: str) -> str:
     """A stand-in written as the entity was: its punctuation and case."""
+    if kind == "iban":
+        letters = iter(surrogate)
+        return "".join(c if c == " " else next(letters) for c in written)
     if kind in ("phone", "card", "ssn"):
-        digits = iter(surrogate)
+        digits = iter(surrogate[-sum(c.isdigit() for c in written) :])
         return "".join(next(digits) if c.isdigit() else c for c in written)
     if kind == "secret" or kind == "ip":
         return surrogate

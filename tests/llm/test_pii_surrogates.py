@@ -55,6 +55,21 @@ def test_formats_and_coreference():
     assert P.rewrite(TEXT, KEY, {}) == (new, n) and P.rewrite(TEXT, b"other", {})[0] != new
 
 
+@pytest.mark.parametrize("text", ["(521) 555-6210", "521-555-6210", "1 521 555 6210", "+1 5215556210", "+1.521.555.6210"])
+def test_one_phone_number_written_in_several_ways(text):
+    want = P.stand_in(KEY, "phone", "15215556210")
+    assert kinds(f"call {text}.") == [("phone", text)]
+    new = P.rewrite(text, KEY, {})[0]
+    assert re.sub(r"\D", "", new) == want[-len(re.sub(r"\D", "", text)) :] and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+
+
+def test_bank_accounts():
+    text = "pay GB82 WEST 1234 5698 7654 32 or DE89370400440532013000, not GB83 WEST 1234 5698 7654 32"
+    assert [k for k, _ in kinds(text)] == ["iban", "iban"]
+    new = P.rewrite(text, KEY, {})[0]
+    assert [k for k, _ in kinds(new)] == ["iban", "iban"] and new.startswith("pay GB") and new.endswith(text[-31:])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.from_regex(r"[0-9]{12,18}", fullmatch=True), st.integers(0, 40))
 def test_card_stand_ins_have_a_check_digit(payload, attempt):
