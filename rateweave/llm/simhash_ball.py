@@ -85,6 +85,8 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     all that meet on a variant to the smallest of its inner ones joins every
     close pair, directly or through it.  Each link is verified.
     """
+    # A row here becomes a whole ball: spread the rows, however few bytes they are.
+    distinct = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     inner, outer = max_distance // 2, (max_distance + 1) // 2
     near = F.array(*[F.lit(m).cast("bigint") for m in _masks(range(inner + 1))])
     balls = distinct.select("fp", F.explode(near).alias("mask"), F.lit(True).alias("inner"))
@@ -168,13 +170,18 @@ def simhash_dedup(
     last), then of the smallest text hash; rows equal in both are one row.
     """
     member = simhash_components(docs, id_col, text_col, size, max_distance)
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), "text_hash")
-    stays = member.groupBy("component_key").agg(F.min(order).alias("k")).select(
-        F.col(f"k.{id_col}").alias("_id"), F.col("k.text_hash").alias("_hash")
-    )
+    alike = member.groupBy("component_key", F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
+    order = F.struct(F.col("_id").isNull().alias("last"), "_id", "_hash", "n")
+    stays = alike.agg(F.count("*").alias("n")).groupBy("component_key").agg(F.min(order).alias("k"))
+    stays = stored(stays.select("k._id", "k._hash", "k.n"), "simhash-stays")
     hashed = free_name(docs, "text_hash")
     rows = docs.withColumn(hashed, F.xxhash64(text_col))
-    kept = rows.join(stays, rows[id_col].eqNullSafe(stays["_id"]) & (rows[hashed] == stays["_hash"]), "left_semi")
+
+    def chosen(keys: DataFrame) -> DataFrame:
+        return rows.join(keys, rows[id_col].eqNullSafe(keys["_id"]) & (rows[hashed] == keys["_hash"]), "left_semi")
+
+    # Repeated rows are few, and only they are grouped.
+    repeated = chosen(stays.where("n > 1")).groupBy(F.col(id_col).alias("_id"), F.col(hashed).alias("_hash"))
     plain = [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
-    return kept.groupBy(F.col(id_col).alias("_id"), F.col(hashed).alias("_hash")).agg(first.alias("_row")).select("_row.*")
+    return chosen(stays.where("n = 1")).drop(hashed).union(repeated.agg(first.alias("_row")).select("_row.*"))
