@@ -73,7 +73,16 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
 WORDS, WORDS_AND_SIGNS, UNSPACED = "words", "words and signs", "unspaced"
 #: Code points hashed at once, which bounds a task's memory on very long texts.
 SLICE = 1 << 20
-_tables: dict = {}
+
+
+class Scratch(dict):
+    """Tables that a process makes once; a function that uses them travels without."""
+
+    def __reduce__(self):
+        return Scratch, ()
+
+
+_tables = Scratch()
 
 
 def _kinds(tokens: str) -> np.ndarray:

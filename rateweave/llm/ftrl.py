@@ -110,19 +110,16 @@ def train(sample: DataFrame, features: Callable[[str], np.ndarray], p: FTRL) ->
                 held += size
                 if held <= MAX_FEATURES:
                     rows.append((flat[end - size : end], int(label)))
-        found = fit(rows, p) if rows else {BIAS: 0.0}
+        found = fit(rows, p) if rows else {}
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(list(found), pa.int64()), "weight": list(found.values())})
 
     rows = sample.select("id", "label", buckets("text").alias("features"))
     # One task over a sample of bounded size: the updates are sequential.
     ordered = rows.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id")
-    found = ordered.mapInArrow(learn, "bucket bigint, weight double").collect()
-    model = Model(np.zeros(1 << p.bits, dtype=np.float32), 0.0)
-    for bucket, weight in found:
-        if bucket == BIAS:
-            model.bias = weight
-        else:
-            model.weights[bucket] = weight
+    found = ordered.mapInArrow(learn, "bucket bigint, weight double").toArrow()
+    bucket, weight = found["bucket"].to_numpy(), found["weight"].to_numpy()
+    model = Model(np.zeros(1 << p.bits, dtype=np.float32), float(weight[bucket == BIAS].sum()))
+    model.weights[bucket[bucket != BIAS]] = weight[bucket != BIAS]
     return model
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateweave.llm._common import MULTIPLIERS, id_remainder
+from rateweave.llm._common import MULTIPLIERS, Scratch, id_remainder
 
 #: Documents of each language that training takes at most.
 MAX_TRAINING_ROWS = 5_000
@@ -28,19 +28,19 @@ SMOOTHING = 0.1
 #: N-grams handled at once, which bounds a task's memory on very long texts.
 CHUNK = 1_000_000
 UNDETERMINED = "und"
-_tables: list[np.ndarray] = []
+_tables = Scratch()
 
 
 def _letter_table() -> np.ndarray:
     """For each code point: its lower-case letter, or a space if it is no letter."""
-    if not _tables:
+    if "letters" not in _tables:
         table = np.full(sys.maxunicode + 1, 32, dtype=np.uint32)
         for c in range(sys.maxunicode + 1):
             if chr(c).isalpha():
                 low = chr(c).lower()
                 table[c] = ord(low) if len(low) == 1 else c
-        _tables.append(table)
-    return _tables[0]
+        _tables["letters"] = table
+    return _tables["letters"]
 
 
 def letters(text: str) -> np.ndarray:
@@ -142,7 +142,7 @@ def train(
 
     counted = sample.mapInArrow(count, "lang string, bucket bigint, n bigint")
     # At most languages x buckets rows.
-    rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     languages = sorted(set(rows["lang"]))
     matrix = np.full((1 << BUCKET_BITS, len(languages)), SMOOTHING)
     priors = np.zeros(len(languages))

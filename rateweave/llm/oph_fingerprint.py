@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm._common import MULTIPLIERS, UNSPACED, mixed, shingle_hashes, token_hashes
+from rateweave.llm._common import MULTIPLIERS, UNSPACED, Scratch, mixed, shingle_hashes, token_hashes
 
 SHINGLE_WORDS = 5
 BINS = 512
@@ -25,15 +25,15 @@ BITS = 4
 _BIN_BITS = BINS.bit_length() - 1
 #: Steps of the probing sequence of each bin; in the first bins of it nearly all empty bins end.
 PROBES = 4096
-_probes: list[np.ndarray] = []
+_tables = Scratch()
 
 
 def _probe_table() -> np.ndarray:
     """For each bin, the bins that it asks in turn: the same for all texts."""
-    if not _probes:
+    if "probes" not in _tables:
         seeds = np.arange(BINS * PROBES, dtype=np.uint64).reshape(BINS, PROBES) + np.uint64(1)
-        _probes.append((mixed(mixed(seeds)) >> np.uint64(64 - _BIN_BITS)).astype(np.int16))
-    return _probes[0]
+        _tables["probes"] = (mixed(mixed(seeds)) >> np.uint64(64 - _BIN_BITS)).astype(np.int16)
+    return _tables["probes"]
 
 
 def sketch(text: str) -> np.ndarray | None:

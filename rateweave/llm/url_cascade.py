@@ -105,9 +105,9 @@ def _bloom(keys: DataFrame, count: int, rate: float, level: int) -> tuple[int, i
             yield pa.RecordBatch.from_pydict({"word": words.astype(np.int64), "bits": bits.view(np.int64)})
 
     united = keys.select("h1", "h2").mapInArrow(run, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    found = united.toPandas()  # at most ``size`` bits
+    found = united.toArrow()  # at most ``size`` bits
     words = np.zeros(-(-size // 64), dtype=np.uint64)
-    words[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return size, probes, words
 
 
