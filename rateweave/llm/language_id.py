@@ -99,30 +99,27 @@ def train(
 ) -> Model:
     """A model from whole texts of at most ``max_rows`` documents of each language.
 
-    Rows held out, or with a null id, text or language, are not used; of each
-    language the ids with the smallest hashes are taken.  Languages are listed
-    in order, so ties go to the first.
+    Rows held out, or with a null id, text or language, are not used; rows
+    equal in id, text and language count once.  Of each language the rows with
+    the smallest hashes are taken: a share of them that its count tells, then,
+    of those few, ``max_rows``.  Languages are listed in order, so ties go to
+    the first.
     """
     usable = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    usable = usable.where(~held_out(id_col))
-    order = Window.partitionBy("lang").orderBy("rank", "id", "text_hash")
-    ids = usable.select(
-        F.col(lang_col).alias("lang"),
-        F.col(id_col).alias("id"),
-        F.xxhash64(id_col).alias("rank"),
-        F.xxhash64(text_col).alias("text_hash"),
-    )
-    # Each task keeps max_rows ids of a language before the shuffle.
-    chosen = ids.select("*", F.row_number().over(order).alias("n")).where(F.col("n") <= max_rows)
-    chosen = chosen.select("lang", "id", "text_hash").distinct()
-    texts = usable.select(
+    rows = usable.where(~held_out(id_col)).select(
         F.col(lang_col).alias("lang"),
         F.col(id_col).alias("id"),
         F.xxhash64(text_col).alias("text_hash"),
+        F.shiftrightunsigned(F.xxhash64(id_col, text_col), 1).alias("rank"),
         F.col(text_col).alias("text"),
     )
-    # Bounded by max_rows ids of each language.
-    sample = texts.join(F.broadcast(chosen), ["lang", "id", "text_hash"], "left_semi").select("lang", "text")
+    share = F.lit(1.25 * max_rows * 2.0**63) / F.count("*")
+    # One row for each language.
+    shares = F.broadcast(rows.groupBy("lang").agg(share.alias("share")))
+    near = rows.join(shares, "lang").where(F.col("rank") < F.col("share"))
+    near = near.groupBy("lang", "id", "text_hash", "rank").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("rank", "id", "text_hash")
+    sample = near.select("lang", "text", F.row_number().over(order).alias("n")).where(F.col("n") <= max_rows).drop("n")
 
     def count(batches):
         counts: dict[str, np.ndarray] = {}
