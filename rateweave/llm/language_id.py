@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateweave.llm._common import MULTIPLIERS, Scratch, id_remainder
+from rateweave.llm._common import MULTIPLIERS, Scratch, free_name, id_remainder
 
 #: Documents of each language that training takes at most.
 MAX_TRAINING_ROWS = 5_000
@@ -154,7 +154,9 @@ def train(
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the posterior), from the whole
-    text alone; ``und`` and 0 for a null text or one without a letter."""
+    text alone; ``und`` and 0 for a null text or one without a letter.
+    Columns with these names are replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.priors, model.matrix))
 
     @F.pandas_udf("lang_pred string, score double")
@@ -163,5 +165,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         for texts in batches:
             yield pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    found = docs.withColumn("_found", predict(F.col(text_col)))
-    return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
+    own = free_name(docs, "found")
+    found = docs.withColumn(own, predict(F.col(text_col)))
+    return found.withColumns({c: F.col(f"{own}.{c}") for c in ("lang_pred", "score")}).drop(own)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rateweave.llm._common import free_name
 from rateweave.llm.sentencepiece_model import CONTROL, SPACE, build_tokenizer, parse_model, spaces_only_lead, surfaces
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -171,11 +172,13 @@ def encode(
             out = [_lists(ids), pa.array(agree, pa.bool_())] + [pa.array(back, pa.string())] * decoded
             yield pa.StructArray.from_arrays(out, names=["token_ids", "parity", "decoded"][: len(out)])
 
-    found = docs.withColumn("_codes", run(F.col(text_col)))
-    out = {"token_ids": F.col("_codes.token_ids"), "n_tokens": F.size("_codes.token_ids"), "parity": F.col("_codes.parity")}
+    own = free_name(docs, "codes")
+    found = docs.withColumn(own, run(F.col(text_col)))
+    ids, back = F.col(f"{own}.token_ids"), F.col(f"{own}.decoded")
+    out = {"token_ids": ids, "n_tokens": F.size(ids), "parity": F.col(f"{own}.parity")}
     if decoded:
-        out |= {"decoded": F.col("_codes.decoded"), "round_trip": F.col("_codes.decoded").eqNullSafe(F.col(text_col))}
-    return found.withColumns(out).drop("_codes")
+        out |= {"decoded": back, "round_trip": back.eqNullSafe(F.col(text_col))}
+    return found.withColumns(out).drop(own)
 
 
 def decode(docs: DataFrame, model_path: str = MODEL_PATH, ids_col: str = "token_ids", into: str = "decoded") -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm._common import mixed, stored
+from rateweave.llm._common import free_name, mixed, stored
 
 #: False-positive rate of the first level and of the later ones.
 FIRST_RATE, LATER_RATE = 1 / 64, 1 / 16
@@ -188,11 +188,12 @@ def judged(
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     hosts = pages.select(host.alias("host")).distinct()
     cascades = build(hosts.select(F.explode(keys_of(F.col("host"))).alias("key")), listed, max_bytes)
-    rows = pages.withColumn("_host", host).withColumn("_path", path)
-    rule, verdict = rule_of(F.col("_host"), F.col("_path"), rules)
-    by_list = F.when(is_listed(pages, cascades, keys_of(F.col("_host"))), "block").otherwise("allow")
-    out = {"host": F.col("_host"), "path": F.col("_path"), "rule": rule, "verdict": F.coalesce(verdict, by_list)}
-    return rows.withColumns(out).drop("_host", "_path")
+    own_host, own_path = free_name(pages, "own_host"), free_name(pages, "own_path")
+    rows = pages.withColumn(own_host, host).withColumn(own_path, path)
+    rule, verdict = rule_of(F.col(own_host), F.col(own_path), rules)
+    by_list = F.when(is_listed(pages, cascades, keys_of(F.col(own_host))), "block").otherwise("allow")
+    out = {"host": F.col(own_host), "path": F.col(own_path), "rule": rule, "verdict": F.coalesce(verdict, by_list)}
+    return rows.withColumns(out).drop(own_host, own_path)
 
 
 def default_list(spark) -> DataFrame:

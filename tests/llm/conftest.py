@@ -14,7 +14,7 @@ def docs_of(spark):
     def make(rows):
         full = [(r[0], r[1], r[2] if len(r) > 2 else "en", "s", len(r[1] or "")) for r in rows]
         df = spark.createDataFrame(full, DOCS)
-        clashing = ["fp", "id", "text_hash", "score", "_id", "variant", "part", "attempts", "hash", "features", "label"]
+        clashing = ["fp", "id", "text_hash", "score", "_id", "variant", "part", "attempts", "hash", "features", "label", "_hash", "_row", "own_host", "codes", "found", "replaced", "share", "rank"]
         return df.withColumns({c: F.lit(7) for c in clashing})
 
     return make

@@ -54,7 +54,37 @@ def test_pipeline_against_brute_force(spark):
         assert (r["lang"], r["source"]) == (rows[i]["lang"], rows[i]["source"])
 
 
-def test_stages_keep_the_columns(spark):
+def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(0)
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, SF001).columns == docs.columns
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        done = stage(spark, docs, SF001)
+        assert done.count() == 0 and (n == 4 or done.columns == docs.columns)
+
+
+def test_stages_on_odd_rows(spark, docs_of, tmp_path):
+    """Nulls, repeated rows, empty and long texts, columns with names used inside: every stage keeps
+    what it should, whole."""
+    prose = "some plain words of prose that stand here for a good text and mean little"
+    leak = "this very item of a benchmark must never be seen in a training text at all"
+    rows = [(1, None), (2, ""), (None, prose), (None, prose), (3, prose), (4, prose), (4, prose), (5, "x " * 70_000)]
+    rows += [(6, f"before {leak.upper()}! after"), (7, "mail jo@ex.org please, or not at all if you like that better")]
+    docs = docs_of(rows)
+    spark.createDataFrame([(1, leak), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels = spark.createDataFrame([(3, 1, 0), (None, 0, 0), (6, 1, None), (2, None, 1)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    stages = [stage for _, stage in corpus_pipeline.STAGES]
+
+    def texts(df):
+        return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+
+    assert texts(stages[0](spark, docs, str(tmp_path))) == sorted(rows, key=repr)  # no label 0: all are good
+    deduped = stages[1](spark, docs, str(tmp_path))
+    assert texts(deduped) == sorted([(1, None), (3, prose), *rows[7:]], key=repr)
+    assert texts(stages[2](spark, docs, str(tmp_path))) == sorted(rows[:8] + rows[9:], key=repr)
+    replaced = stages[3](spark, docs, str(tmp_path))
+    assert {r[1] for r in texts(replaced)} - {r[1] for r in rows} == {next(t for i, t in texts(replaced) if i == 7)}
+    assert all(r["n_chars"] == len(r["text"] or "") for r in replaced.collect())
+    for df in (deduped, replaced):
+        assert df.columns == docs.columns and df.select("fp", "_id", "codes").distinct().collect() == [(7, 7, 7)]
+    coded = {r["doc_id"]: r for r in stages[4](spark, docs, str(tmp_path)).collect()}
+    assert coded[1]["n_tokens"] == coded[2]["n_tokens"] == 0 and all(r["round_trip"] for r in coded.values())
