@@ -51,6 +51,7 @@ def text_roundtrip(
     earlier one's.  The files go under the shared folder.
     """
     base = fresh_path(spark, name)
-    for n, df in enumerate(listings):
-        to_lines(df, [f.name for f in schema.fields]).write.text(f"{base}/{n:06d}")
-    return read_delimited(spark, f"{base}/*", schema, seq_col=seq_col)
+    folders = [f"{base}/{n:06d}" for n in range(len(listings))]
+    for folder, df in zip(folders, listings):
+        to_lines(df, [f.name for f in schema.fields]).write.text(folder)
+    return read_delimited(spark, folders, schema, seq_col=seq_col)

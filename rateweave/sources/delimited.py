@@ -30,7 +30,7 @@ REJECT = "_reject"
 RAW_LINE = "_line"
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "utf-8", seq_col: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], encoding: str = "utf-8", seq_col: str | None = None) -> DataFrame:
     """Lines of the files under ``path`` as ``value``.
 
     ``seq_col`` adds each line's position in file order (file path, split
@@ -164,7 +164,7 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType,
     *,
     sep: str = DEFAULT_SEP,
