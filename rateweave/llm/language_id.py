@@ -8,7 +8,7 @@ scored by summing the rows of its n-grams.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +26,7 @@ BUCKET_BITS = 16
 #: Added to every count.
 SMOOTHING = 0.1
 #: N-grams handled at once, which bounds a task's memory on very long texts.
-CHUNK = 1_000_000
+CHUNK = 200_000
 UNDETERMINED = "und"
 _tables = Scratch()
 
@@ -73,16 +73,42 @@ class Model:
     priors: np.ndarray  # log, by language
     matrix: np.ndarray  # log-probabilities, bucket x language
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its posterior; ``und`` and 0 without a letter or a model."""
-        total, seen = self.priors.copy(), False
-        for found in buckets(text or "") if self.languages else ():
-            seen = seen or len(found) > 0
-            total += self.matrix[found].sum(axis=0, dtype=np.float64)
-        if not seen:
-            return UNDETERMINED, 0.0
-        best = int(np.argmax(total))
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+    def predict(self, texts: Iterable[str | None]) -> tuple[list[str], np.ndarray]:
+        """The likeliest language of each text and its posterior; ``und`` and 0 without a letter or a model.
+
+        N-grams of many texts are gathered, their matrix rows taken at once
+        and summed by text.
+        """
+        texts = list(texts)
+        if not self.languages:
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        totals, seen = np.tile(self.priors, (len(texts), 1)), np.zeros(len(texts), dtype=bool)
+        owners: list[int] = []
+        gathered: list[np.ndarray] = []
+        size = 0
+
+        def add() -> None:
+            starts = np.cumsum([0] + [len(g) for g in gathered[:-1]])
+            rows = self.matrix[np.concatenate(gathered)]
+            np.add.at(totals, owners, np.add.reduceat(rows, starts, axis=0, dtype=np.float64))
+            owners.clear()
+            gathered.clear()
+
+        for at, text in enumerate(texts):
+            for found in buckets(text or ""):
+                if len(found):
+                    seen[at] = True
+                    owners.append(at)
+                    gathered.append(found)
+                    size += len(found)
+                if size >= CHUNK:
+                    add()
+                    size = 0
+        if gathered:
+            add()
+        best = totals.argmax(axis=1)
+        scores = 1.0 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
+        return [self.languages[b] if s else UNDETERMINED for b, s in zip(best, seen)], np.where(seen, scores, 0.0)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -163,7 +189,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Model(*shared.value)
         for texts in batches:
-            yield pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"])
+            languages, scores = own.predict(texts)
+            yield pd.DataFrame({"lang_pred": languages, "score": scores})
 
     own = free_name(docs, "found")
     found = docs.withColumn(own, predict(F.col(text_col)))

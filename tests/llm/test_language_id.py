@@ -34,7 +34,14 @@ def test_matrix_is_naive_bayes_by_hand(docs_of):
         want = np.log((counts + L.SMOOTHING) / (counts + L.SMOOTHING).sum())
         assert np.allclose(model.matrix[:, at], want, rtol=1e-5)
     assert np.allclose(np.exp(model.priors), [sum(r[2] == c for r in rows) / len(rows) for c in ("xx", "yy")])
-    assert model.predict("AB!") == ("xx", model.predict("ab")[1])
+    texts = ["AB!", "ab", None, "c", "1"]
+    languages, scores = model.predict(texts)
+    assert languages == ["xx", "xx", "und", "yy", "und"] and scores[0] == scores[1] and scores[2] == scores[4] == 0
+    for text, language, score in zip(texts, languages, scores):  # alone or in a batch, in plain arithmetic
+        assert model.predict([text]) == ([language], [score])
+        if language != "und":
+            logs = model.priors + sum(model.matrix[int(b)].astype(float) for found in L.buckets(text) for b in found)
+            assert np.isclose(score, 1 / np.exp(logs - logs.max()).sum())
 
 
 def test_odd_rows(docs_of):
@@ -66,3 +73,9 @@ def test_slices_do_not_change_counts(monkeypatch):
     whole = np.sort(np.concatenate(list(L.buckets(text))))
     monkeypatch.setattr(L, "CHUNK", 5)
     assert (np.sort(np.concatenate(list(L.buckets(text)))) == whole).all()
+    rng = np.random.default_rng(1)
+    model = L.Model(["a", "b"], np.log([0.5, 0.5]), rng.normal(size=(1 << L.BUCKET_BITS, 2)).astype(np.float32))
+    sliced = model.predict([text, "", text[:9], "x"])
+    monkeypatch.undo()
+    again = model.predict([text, "", text[:9], "x"])
+    assert sliced[0] == again[0] and np.allclose(sliced[1], again[1])
