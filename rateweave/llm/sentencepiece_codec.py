@@ -15,7 +15,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +28,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Threads of one task's batch; a cluster sets as many as spark.task.cpus.
 THREADS = 2
 #: Segments that a task remembers, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 500_000, 64
 _SEGMENT = re.compile(" +[^ ]*|[^ ]+")
 
 
@@ -47,8 +47,8 @@ class Codec:
         self.tokenizer = Tokenizer.from_str(rebuilt)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         # A space that ends a text, or stands alone, is the dummy prefix of nothing: the marker's own piece.
-        self.fixed = {"": (self.reference.piece_to_id(SPACE),)} if self.prefix and self.cut else {}
-        self.known: dict[str, tuple[int, ...]] = dict(self.fixed)
+        self.fixed = {"": _packed([self.reference.piece_to_id(SPACE)])} if self.prefix and self.cut else {}
+        self.known: dict[str, bytes] = dict(self.fixed)  # 32-bit ids
         self.differing: set[str] = set()
 
     def segments(self, text: str) -> list[str]:
@@ -67,15 +67,18 @@ class Codec:
         return text.split(" ")
 
     def _learn(self, parts: list[str]) -> None:
-        ours = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        lead = SPACE if self.prefix else ""
+        # Cut segments are short and plain, so they are normalised here.
+        given = [lead + p.replace(" ", SPACE) for p in parts] if self.cut else parts
+        ours = self.tokenizer.encode_batch_fast(given, add_special_tokens=False)
         theirs = self.reference.encode(parts, num_threads=self.threads)
         for part, own, want in zip(parts, ours, theirs):
             if own.ids != want:
                 self.differing.add(part)
-            self.known[part] = tuple(want)
+            self.known[part] = _packed(want)
 
-    def encode(self, texts: list[str | None]) -> tuple[list[array], list[bool]]:
-        """Ids of each text (none for a null or empty one), and whether both libraries agree on all its parts."""
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bool]]:
+        """32-bit ids of each text (none for a null or empty one), and whether both libraries agree on all its parts."""
         cut = [self.segments(t or "") for t in texts]
         if len(self.known) > REMEMBERED:
             self.known = dict(self.fixed)
@@ -84,7 +87,7 @@ class Codec:
             self._learn(new)
         ids, agree = [], []
         for parts in cut:
-            ids.append(array("i", chain.from_iterable(map(self.known.__getitem__, parts))))
+            ids.append(b"".join(map(self.known.__getitem__, parts)))
             agree.append(not self.differing or self.differing.isdisjoint(parts))
         for part in new:
             if len(part) > LONGEST:
@@ -117,20 +120,31 @@ class Codec:
 
 def prepared(data: bytes) -> tuple:
     """A serialised model as what tasks need: plain values, made once on the driver."""
+    from tokenizers import Tokenizer
+
     model = parse_model(data)
     plain = not model.charsmap and not model.remove_extra_whitespaces
     hidden = {i for i, (_, _, kind) in enumerate(model.pieces) if kind == CONTROL}
     cut = plain and spaces_only_lead(model)
-    return data, build_tokenizer(model).to_str(), surfaces(model), hidden, model.unk_id, model.add_dummy_prefix, model.remove_extra_whitespaces, cut
+    rebuilt = build_tokenizer(model)
+    if cut:  # tasks cut and normalise the segments themselves
+        whole, rebuilt = rebuilt, Tokenizer(rebuilt.model)
+        rebuilt.decoder = whole.decoder
+    return data, rebuilt.to_str(), surfaces(model), hidden, model.unk_id, model.add_dummy_prefix, model.remove_extra_whitespaces, cut
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+def unpacked(ids: bytes) -> memoryview:
+    return memoryview(ids).cast("i")
 
 
-def _lists(values: list[array]) -> pa.ListArray:
-    offsets = [0]
-    flat = array("i")
-    for v in values:
-        flat.extend(v)
-        offsets.append(len(flat))
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(memoryview(flat) if len(flat) else [], pa.int32()))
+def _lists(values: list[bytes]) -> pa.ListArray:
+    offsets = pa.array([0, *accumulate(len(v) // 4 for v in values)], pa.int32())
+    flat = b"".join(values)
+    return pa.ListArray.from_arrays(offsets, pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]))
 
 
 def _parts(texts: pa.Array, limit: int = 4_000_000) -> Iterator[list[str | None]]:
@@ -168,7 +182,7 @@ def encode(
                 ids += found
                 agree += same
                 if decoded:
-                    back += [None if t is None else codec.decode(i) for t, i in zip(part, found)]
+                    back += [None if t is None else codec.decode(unpacked(i)) for t, i in zip(part, found)]
             out = [_lists(ids), pa.array(agree, pa.bool_())] + [pa.array(back, pa.string())] * decoded
             yield pa.StructArray.from_arrays(out, names=["token_ids", "parity", "decoded"][: len(out)])
 
