@@ -28,7 +28,9 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Threads of one task's batch; a cluster sets as many as spark.task.cpus.
 THREADS = 2
 #: Segments that a task remembers, and the longest of them.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 400_000, 64
+#: Segments that are given to the libraries at once, and characters of text that are turned into one result.
+LEARNT, PART_CHARS = 20_000, 2_000_000
 _SEGMENT = re.compile(" +[^ ]*|[^ ]+")
 
 
@@ -83,8 +85,8 @@ class Codec:
         if len(self.known) > REMEMBERED:
             self.known = dict(self.fixed)
         new = list(dict.fromkeys(p for p in chain.from_iterable(cut) if p not in self.known))
-        if new:
-            self._learn(new)
+        for start in range(0, len(new), LEARNT):
+            self._learn(new[start : start + LEARNT])
         ids, agree = [], []
         for parts in cut:
             ids.append(b"".join(map(self.known.__getitem__, parts)))
@@ -147,7 +149,7 @@ def _lists(values: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]))
 
 
-def _parts(texts: pa.Array, limit: int = 4_000_000) -> Iterator[list[str | None]]:
+def _parts(texts: pa.Array, limit: int = PART_CHARS) -> Iterator[list[str | None]]:
     part, size = [], 0
     for text in texts:
         part.append(text.as_py())
@@ -176,15 +178,14 @@ def encode(
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec(shared.value, threads)
         for texts in batches:
-            ids, agree, back = [], [], []
+            # Several small results for a batch: a batch of long texts would make a large one.
             for part in _parts(texts):
-                found, same = codec.encode(part)
-                ids += found
-                agree += same
+                ids, agree = codec.encode(part)
+                out = [_lists(ids), pa.array(agree, pa.bool_())]
                 if decoded:
-                    back += [None if t is None else codec.decode(unpacked(i)) for t, i in zip(part, found)]
-            out = [_lists(ids), pa.array(agree, pa.bool_())] + [pa.array(back, pa.string())] * decoded
-            yield pa.StructArray.from_arrays(out, names=["token_ids", "parity", "decoded"][: len(out)])
+                    back = [None if t is None else codec.decode(unpacked(i)) for t, i in zip(part, ids)]
+                    out.append(pa.array(back, pa.string()))
+                yield pa.StructArray.from_arrays(out, names=["token_ids", "parity", "decoded"][: len(out)])
 
     own = free_name(docs, "codes")
     found = docs.withColumn(own, run(F.col(text_col)))

@@ -146,3 +146,16 @@ def test_encode_and_decode_tables(docs_of):
     back = C.decode(coded.select("text", "token_ids"), into="own").collect()
     assert all(r["own"] == theirs.decode(r["token_ids"]) for r in back)
     assert C.encode(docs_of([])).count() == 0
+
+
+def test_several_results_for_a_batch(monkeypatch, docs_of):
+    monkeypatch.setattr(C, "_parts", lambda texts: ([t.as_py()] for t in texts))
+    docs = docs_of([(i, f"text number {i}") for i in range(300)]).coalesce(1)
+    assert {(r["doc_id"], r["decoded"]) for r in C.encode(docs, decoded=True).collect()} == {(i, f"text number {i}") for i in range(300)}
+
+
+def test_segments_are_learnt_in_chunks(monkeypatch):
+    monkeypatch.setattr(C, "LEARNT", 3)
+    codec, theirs = C.Codec(C.prepared(public_model())), sentencepiece.SentencePieceProcessor(model_proto=public_model())
+    texts = [" ".join(f"w{i}" for i in range(20)), "w3 again"]
+    assert [list(C.unpacked(i)) for i in codec.encode(texts)[0]] == theirs.encode(texts)
