@@ -180,8 +180,9 @@ def simhash_dedup(
     def chosen(keys: DataFrame) -> DataFrame:
         return rows.join(keys, rows[id_col].eqNullSafe(keys["_id"]) & (rows[hashed] == keys["_hash"]), "left_semi")
 
-    # Repeated rows are few, and only they are grouped.
-    repeated = chosen(stays.where("n > 1")).groupBy(F.col(id_col).alias("_id"), F.col(hashed).alias("_hash"))
+    # Repeated rows are few, and only they are grouped; as a table of their own their true size decides the join.
+    several = stored(stays.where("n > 1"), "simhash-repeated")
+    repeated = chosen(several).groupBy(F.col(id_col).alias("_id"), F.col(hashed).alias("_hash"))
     plain = [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
     return chosen(stays.where("n = 1")).drop(hashed).union(repeated.agg(first.alias("_row")).select("_row.*"))
