@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -54,6 +55,18 @@ ENDS = {
     "greek": {"m": "νος", "f": "να", "n": "λ", "": "ρης"},
 }
 
+# Characters of a bank account number by its country; other countries' may have any length.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 _UPPER, _LOWER = "A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆ-Ώ", "a-zß-öø-ÿа-яёα-ώά-ώ"
 _NAME_WORD = f"[{_UPPER}][{_LOWER}]+(?:[-'’][{_UPPER}]?[{_LOWER}]+)?"
 _GENDER = {name: g for g, names in GIVEN.items() for name in names.split()}
@@ -63,14 +76,18 @@ _PATTERNS = {
         r"(?<![\w+.-])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+1 ?\d{10}"
         r"|\+[2-9]\d{0,2}(?:[ .-]?(?:\(\d{1,4}\)|\d{2,4})){2,5})(?!\w|\.\d)"
     ),
-    "card": re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
+    "card": re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,}(?!\w)"),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
+    "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?=((?: ?[A-Z0-9]){11,30}))"),
     "secret": re.compile(
         r"\bAKIA([0-9A-Z]{16})\b|(?i:\b(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"']?)([A-Za-z0-9+/_-]{8,})"
     ),
 }
+# Card numbers as they are usually grouped, and accounts of any country in groups of four.
+_CARD_GROUPS = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}")
+_IBAN_GROUPS = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+_DIGITS, _WORD = re.compile(r"\d+"), re.compile(r"\w")
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\b\.?[ \u00a0]+({_NAME_WORD}(?:[ \u00a0]{_NAME_WORD}){{0,2}})")
 _GIVEN_FIRST = re.compile(rf"\b((?:{'|'.join(_GENDER)})[ \u00a0]{_NAME_WORD})")
 _HINTS = [*"0123456789@", *TITLES, *_GENDER]
@@ -114,6 +131,52 @@ def _name_parts(start: int, words: str, gender: str) -> Iterator[Entity]:
         yield Entity(start + m.start(), start + m.end(), kind + _script(word), word.lower())
 
 
+def _ibans(text: str) -> Iterator[Entity]:
+    """Bank accounts, each of the length that its country fixes or else of whole groups."""
+    done = 0
+    for m in _PATTERNS["iban"].finditer(text):
+        if m.start() < done:
+            continue
+        fixed, groups = IBAN_LENGTHS.get(m[0][:2]), _IBAN_GROUPS.match(text, m.start())
+        whole = groups.end() if groups else 0
+        ends = [e for e in range(m.end(1), m.end(), -1) if text[e - 1] != " " and not _WORD.match(text, e)]
+        runs = {e: text[m.start() : e].replace(" ", "") for e in ends}
+        tried = [e for e in ends if len(runs[e]) == fixed] + [e for e in ends if e == whole or e < whole and not fixed]
+        for end in tried:
+            if len(runs[end]) >= 15 and iban_check(runs[end]) == runs[end][2:4]:
+                yield Entity(m.start(), end, "iban", runs[end])
+                done = end
+                break
+
+
+def _cards(text: str) -> Iterator[tuple[int, Entity]]:
+    """Every run of whole groups of digits with a card number's length and check digit; they may overlap.
+
+    0: grouped as card numbers usually are, 1: with no more groups beside it, 2: any other.
+    """
+    for m in _PATTERNS["card"].finditer(text):
+        groups = [g.span() for g in _DIGITS.finditer(text, *m.span())]
+        for i, (start, _) in enumerate(groups):
+            plain = ""
+            for at, end in groups[i:]:
+                plain += text[at:end]
+                if len(plain) > 19:
+                    break
+                if len(plain) >= 13 and luhn_digit(plain[:-1]) == plain[-1]:
+                    rank = 0 if _CARD_GROUPS.fullmatch(text, start, end) else 1 if (start, end) == m.span() else 2
+                    yield rank, Entity(start, end, "card", plain)
+
+
+def _apart(found: list[Entity], fixed: list[Entity]) -> list[Entity]:
+    """Of those that overlap, the one that begins first, then the longer one; none that overlaps ``fixed`` (in order and apart)."""
+    starts, taken = [f.start for f in fixed], []
+    for e in sorted(found, key=lambda e: (e.start, -e.end, e.kind)):
+        before = bisect_left(starts, e.end)
+        if (not taken or e.start >= taken[-1].end) and (not before or fixed[before - 1].end <= e.start):
+            taken.append(e)
+    return taken
+
+
 def detect(text: str | None) -> list[Entity]:
     """Entities of a text, in order and apart from each other; none for a null text.
 
@@ -121,22 +184,25 @@ def detect(text: str | None) -> list[Entity]:
     numbers (13 to 19 digits) and bank accounts (IBAN) with right check
     digits, IPv4 addresses, US social security numbers, credentials, and names after an honorific or with a known given
     name.  Where two overlap, the one that begins first, then the longer one.
+    Digits or capitals beside a card number or account don't hide it: any run
+    of whole groups may be one.  Unusually grouped card numbers among other
+    digits are looked for where nothing else was found.
     """
     if not text or not any(h in text for h in _HINTS) and not any(h in text for h in _SECRET_HINTS):
         return []
-    found = []
+    found, inner = [], []
     digits = any(d in text for d in "0123456789")
     if "@" in text:
         found += [Entity(m.start(), m.end(), "email", m[0].lower()) for m in _PATTERNS["email"].finditer(text)]
     if digits:
-        for m in _PATTERNS["iban"].finditer(text):
-            plain = m[0].replace(" ", "")
-            if 15 <= len(plain) <= 34 and iban_check(plain) == plain[2:4]:
-                found.append(Entity(m.start(), m.end(), "iban", plain))
-        for kind in ("phone", "card", "ssn"):
+        ibans, cards = list(_ibans(text)), list(_cards(text))
+        usual = _apart([e for rank, e in cards if rank == 0], ibans)
+        found += ibans + usual + _apart([e for rank, e in cards if rank == 1], usual)
+        inner = [e for rank, e in cards if rank == 2]
+        for kind in ("phone", "ssn"):
             for m in _PATTERNS[kind].finditer(text):
                 plain = re.sub(r"\D", "", m[0])
-                if kind == "card" and luhn_digit(plain[:-1]) != plain[-1] or kind == "phone" and len(plain) < 8:
+                if kind == "phone" and len(plain) < 8:
                     continue
                 if kind == "phone" and len(plain) == 10 and "+" not in m[0]:
                     plain = "1" + plain  # the same number with and without its country
@@ -152,11 +218,8 @@ def detect(text: str | None) -> list[Entity]:
     if any(g in text for g in _GENDER):
         for m in _GIVEN_FIRST.finditer(text):
             found += _name_parts(m.start(1), m[1], "n")
-    apart: list[Entity] = []
-    for e in sorted(found, key=lambda e: (e.start, -e.end, e.kind)):
-        if not apart or e.start >= apart[-1].end:
-            apart.append(e)
-    return apart
+    apart = _apart(found, [])
+    return sorted(apart + _apart(inner, apart), key=lambda e: e.start) if inner else apart
 
 
 class _Stream:

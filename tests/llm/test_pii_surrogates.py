@@ -70,6 +70,43 @@ def test_bank_accounts():
     assert [k for k, _ in kinds(new)] == ["iban", "iban"] and new.startswith("pay GB") and new.endswith(text[-31:])
 
 
+@pytest.mark.parametrize(
+    "text, kind, number",
+    [
+        ("card 4111 1111 1111 1111 12/27", "card", "4111 1111 1111 1111"),
+        ("card 4111111111111111 123", "card", "4111111111111111"),
+        ("no 7 4111111111111111", "card", "4111111111111111"),
+        ("4111111111111111-x", "card", "4111111111111111"),
+        ("x-4111111111111111", "card", "4111111111111111"),
+        ("1 2 3 4111-1111-1111-1111-123 4 5 6", "card", "4111-1111-1111-1111"),
+        ("2 37 3782 822463 10005 09 27", "card", "3782 822463 10005"),
+        ("no 7 41111111 11111111 12/27", "card", "41111111 11111111"),
+        ("BE68 5390 0754 7034 BIC KREDBEBB", "iban", "BE68 5390 0754 7034"),
+        ("ES91 2100 0418 4502 0005 1332 EUR", "iban", "ES91 2100 0418 4502 0005 1332"),
+        ("XX12 3456 BE68 5390 0754 7034 2027", "iban", "BE68 5390 0754 7034"),
+        ("GB82 WEST 123456 98765432 GBP", "iban", "GB82 WEST 123456 98765432"),
+    ],
+)
+def test_numbers_beside_other_groups(text, kind, number):
+    assert kinds(text) == [(kind, number)]
+    new, n = P.rewrite(text, KEY, {})
+    before, after = text.split(number)
+    assert n == 1 and number not in new and new.startswith(before) and new.endswith(after)
+
+
+def test_adjacent_numbers():
+    account, cards = "ES91 2100 0418 4502 0005 1332", ["4111 1111 1111 1111", "5500 0000 0000 0004", "3782 822463 10005"]
+    assert kinds(" ".join([account, *cards])) == [("iban", account), *(("card", c) for c in cards)]
+
+
+@given(st.lists(st.sampled_from(["12", "345", "6789", "27", "4111111111111111", "BIC", "EUR"]), max_size=8))
+@settings(max_examples=60, deadline=None)
+def test_no_valid_number_stays(groups):
+    text = " ".join(groups)
+    new = P.rewrite(text, KEY, {})[0]
+    assert "4111111111111111" not in new and len(new) == len(text)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.from_regex(r"[0-9]{12,18}", fullmatch=True), st.integers(0, 40))
 def test_card_stand_ins_have_a_check_digit(payload, attempt):
