@@ -81,7 +81,8 @@ _PATTERNS = {
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?=((?: ?[A-Z0-9]){11,30}))"),
     "secret": re.compile(
-        r"\bAKIA([0-9A-Z]{16})\b|(?i:\b(?:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*[\"']?)([A-Za-z0-9+/_-]{8,})"
+        r"\bAKIA([0-9A-Z]{16})\b"
+        r"|(?i:(?<![^\W_])(?:token|secret|password|passwd|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)([A-Za-z0-9+/_-]{8,})"
     ),
 }
 # Card numbers as they are usually grouped, and accounts of any country in groups of four.
@@ -91,7 +92,8 @@ _DIGITS, _WORD = re.compile(r"\d+"), re.compile(r"\w")
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\b\.?[ \u00a0]+({_NAME_WORD}(?:[ \u00a0]{_NAME_WORD}){{0,2}})")
 _GIVEN_FIRST = re.compile(rf"\b((?:{'|'.join(_GENDER)})[ \u00a0]{_NAME_WORD})")
 _HINTS = [*"0123456789@", *TITLES, *_GENDER]
-_SECRET_HINTS = ("AKIA", "oken", "OKEN", "ecret", "ECRET", "assw", "ASSW", "pi_", "pi-", "PI_", "PI-", "pik", "piK", "PIK")
+# In case-folded texts; whatever the pattern accepts holds one of them.
+_SECRET_HINTS = ("akia", "token", "secret", "passw", "key")
 
 
 @dataclass(frozen=True)
@@ -188,7 +190,11 @@ def detect(text: str | None) -> list[Entity]:
     of whole groups may be one.  Unusually grouped card numbers among other
     digits are looked for where nothing else was found.
     """
-    if not text or not any(h in text for h in _HINTS) and not any(h in text for h in _SECRET_HINTS):
+    if not text:
+        return []
+    folded = text.casefold()
+    secrets = any(h in folded for h in _SECRET_HINTS)
+    if not secrets and not any(h in text for h in _HINTS):
         return []
     found, inner = [], []
     digits = any(d in text for d in "0123456789")
@@ -208,7 +214,7 @@ def detect(text: str | None) -> list[Entity]:
                     plain = "1" + plain  # the same number with and without its country
                 found.append(Entity(m.start(), m.end(), kind, plain))
         found += [Entity(m.start(), m.end(), "ip", m[0]) for m in _PATTERNS["ip"].finditer(text)]
-    if any(h in text for h in _SECRET_HINTS):
+    if secrets:
         for m in _PATTERNS["secret"].finditer(text):
             group = 1 if m[1] else 2
             found.append(Entity(m.start(group), m.end(group), "secret", m[group]))

@@ -94,6 +94,29 @@ def test_numbers_beside_other_groups(text, kind, number):
     assert n == 1 and number not in new and new.startswith(before) and new.endswith(after)
 
 
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("DB_PASSWORD=hunterhunter", "hunterhunter"),
+        ("client_secret: abcdefgh1234", "abcdefgh1234"),
+        ('{"password": "abcdefgh"}', "abcdefgh"),
+        ("'x-api-key' : 'abcdefgh1234'", "abcdefgh1234"),
+        ("APIkey = abcdefgh", "abcdefgh"),
+        ("PASSword: abcdefgh", "abcdefgh"),
+        ("pa\u017f\u017fword: abcdefgh", "abcdefgh"),  # case-insensitive matching takes the long s too
+        ("ap\u0131_\u212aey=abcdefgh", "abcdefgh"),
+    ],
+)
+def test_spellings_of_credentials(text, value):
+    assert kinds(text) == [("secret", value)]
+    assert value not in P.rewrite(text, KEY, {})[0]
+
+
+@pytest.mark.parametrize("text", ["mytoken = abcdefgh", "tokens = abcdefgh", "the secret is kept", "keys and tokens"])
+def test_other_words_are_no_credentials(text):
+    assert kinds(text) == []
+
+
 def test_adjacent_numbers():
     account, cards = "ES91 2100 0418 4502 0005 1332", ["4111 1111 1111 1111", "5500 0000 0000 0004", "3782 822463 10005"]
     assert kinds(" ".join([account, *cards])) == [("iban", account), *(("card", c) for c in cards)]
