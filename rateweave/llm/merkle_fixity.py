@@ -132,7 +132,9 @@ def archived(pages: DataFrame, damaged: Column | None = None, lost: Column | Non
     full = full.select(F.col("number").alias("overflowing"), F.ceil(F.col("n") / per_file).alias("files"))
     rows = rows.join(full, F.col("number").eqNullSafe(F.col("overflowing")), "left").drop("overflowing")
     part = F.when(F.col("files").isNotNull(), F.pmod(F.xxhash64("record_id", "hash"), F.col("files"))).otherwise(0)
-    number = F.coalesce(F.lpad(F.col("number").cast("string"), 6, "0"), F.lit("none"))
+    digits = F.col("number").cast("string")
+    # lpad also shortens, so longer numbers stay as they are.
+    number = F.coalesce(F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits), F.lit("none"))
     name = F.concat(F.lit("pages-"), number, F.when(part > 0, F.concat(F.lit("-"), part.cast("string"))).otherwise(""), F.lit(".warc"))
     before = Window.partitionBy("file").orderBy("record_id", "hash", "other").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.col("length") * F.col("copies")).over(before), F.lit(0))

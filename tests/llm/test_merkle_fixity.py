@@ -89,3 +89,16 @@ def test_archive_offsets(spark):
     whole = {r["record_id"]: r["hash"] for r in rows}
     record = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://x/6\r\nWARC-Record-ID: <urn:page:6>\r\nContent-Length: 6\r\n\r\nhhhhhh\r\n\r\n"
     assert whole[6] == hashlib.sha256(record.encode()).hexdigest()
+
+
+def test_large_page_ids_have_files_of_their_own(spark):
+    ids = [5_000, 100_000_000, 1_000_000_000, 1_000_001_000, 1_000_009_999, 10**12]
+    pages = spark.createDataFrame([(i, f"http://x/{i}", "h") for i in ids], "page_id long, url string, html string")
+    ours, theirs = A.archived(pages, F.col("page_id") == 1_000_001_000)
+    rows = ours.orderBy("record_id").collect()
+    assert [r["file"] for r in rows] == [
+        "pages-000005.warc", "pages-100000.warc", "pages-1000000.warc", "pages-1000001.warc", "pages-1000009.warc", "pages-1000000000.warc",
+    ]
+    assert {r["offset"] for r in rows} == {0}
+    (found,) = A.audit(ours.drop("record_id"), theirs).collect()
+    assert (found["file"], found["offset"], found["status"]) == ("pages-1000001.warc", 0, "corrupt")
