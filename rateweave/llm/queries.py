@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from rateweave.llm import (
     quality_ftrl,
     sentencepiece_codec,
     simhash_ball,
+    token_archive,
     toxicity_ftrl,
     url_cascade,
 )
@@ -87,6 +89,11 @@ def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judged(pages, url_cascade.default_list(spark)).drop("url")
 
 
+def op11_rans_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_archive.archived(docs, public_tokenizers.path(token_archive.TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_ftrl,
         op9_toxicity_ftrl,
         op10_url_cascade,
+        op11_rans_archive,
     )
 }
 
