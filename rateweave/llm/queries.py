@@ -17,6 +17,7 @@ from rateweave.llm import (
     quality_ftrl,
     sentencepiece_codec,
     simhash_ball,
+    token_alignment,
     token_archive,
     toxicity_ftrl,
     url_cascade,
@@ -94,6 +95,12 @@ def op11_rans_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_archive.archived(docs, public_tokenizers.path(token_archive.TOKENIZER))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.aligned(docs, a, b)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -108,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_toxicity_ftrl,
         op10_url_cascade,
         op11_rans_archive,
+        op13_token_alignment,
     )
 }
 
