@@ -14,6 +14,7 @@ from rateweave.llm import (
     merkle_fixity,
     oph_fingerprint,
     pii_surrogates,
+    prefix_trie,
     quality_ftrl,
     sentencepiece_codec,
     simhash_ball,
@@ -95,6 +96,10 @@ def op11_rans_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_archive.archived(docs, public_tokenizers.path(token_archive.TOKENIZER))
 
 
+def op12_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -115,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_toxicity_ftrl,
         op10_url_cascade,
         op11_rans_archive,
+        op12_burst_trie,
         op13_token_alignment,
     )
 }
@@ -137,6 +143,11 @@ _RULE_CASES = "\n".join(
 )
 _LISTED = [f"{n}.{s}" for n in url_cascade.LISTED_NAMES for s in url_cascade.LISTED_SUFFIXES]
 
+# CRC-32 of a text of ASCII characters, bit by bit: a character, then eight shifts.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length({0}) + 1),
+    lambda i: [ascii(({0})[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END))"""
+
 ORACLES: dict[str, str] = {
     "op3_merkle_fixity": f"""
 WITH records AS (
@@ -171,6 +182,32 @@ SELECT page_id, host, path, split_part(found, '=', 1) AS rule,
                                                       lambda i: array_to_string(string_split(host, '.')[i:], '.')),
                                        {_LISTED!r}) THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled""",
+    "op12_burst_trie": f"""
+WITH t AS (
+  SELECT conv_id, turn, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS said FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(said ORDER BY turn NULLS FIRST, said) AS turns FROM t GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, turns, conv_id - conv_id % 100 AS base, ({_CRC32.format("conv_id::VARCHAR")} % 6)::BIGINT AS h FROM own),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+  FROM hashed a LEFT JOIN own b ON b.conv_id = a.base),
+prefixes AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+nodes AS (
+  SELECT turns[1:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(turns) = depth) AS ends
+  FROM prefixes GROUP BY p, depth),
+children AS (SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+weighed AS (
+  SELECT a.*, coalesce(c.n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(a.p[depth].t) END AS saved
+  FROM nodes a LEFT JOIN children c USING (p, depth)),
+above AS (SELECT *, unnest(range(0, depth + 1)) AS up FROM weighed),
+subtrees AS (
+  SELECT p[1:up] AS p, up AS depth, sum(saved)::BIGINT AS saved_tokens, (count(*) FILTER (WHERE n_children = 0))::BIGINT AS n_leaves
+  FROM above GROUP BY ALL)
+SELECT w.conv_id, w.depth, parent.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens,
+       sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM weighed w JOIN subtrees s USING (p, depth)
+LEFT JOIN nodes parent ON parent.depth = w.depth - 1 AND parent.p = w.p[1:w.depth - 1]""",
     "op7_containment_search": f"""
 WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
 b AS ({_SHINGLES.format(id="item_id", table="(SELECT DISTINCT item_id, text FROM benchmark)")}),
