@@ -50,7 +50,8 @@ def rebuilt(
     text is empty; rows without a conversation are left out.  Conversation
     ``c`` begins with the first ``h`` turns of ``c - c % 100``, as many as
     there are, and goes on with its own after its first ``h``;
-    ``h = crc32(c) % 6``.  A conversation is one row of 36 bytes a turn.
+    ``h = crc32(c) % 6``; a remainder has its dividend's sign, as in SQL.  A
+    conversation is one row of 36 bytes a turn.
     """
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in (role_col, text_col))
     turn = F.struct(F.col(turn_col).alias("turn"), turn_id(role, text).alias("id"), F.length(text).alias("chars"))

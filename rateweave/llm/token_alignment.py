@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from rateweave.llm._common import stored
 from rateweave.llm._memo import Memo, kept_by_worker
+from rateweave.llm.word_tokens import byte_alphabet
 from rateweave.session import fresh_path
 
 #: The longest segment and the longest window (ids) that a worker remembers.
@@ -49,14 +50,6 @@ _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 SPACE = "▁"
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable bytes for
-    themselves, the others, in order, for the characters from 256 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def piece_bytes(piece: str) -> bytes:
     coded = _BYTE_PIECE.fullmatch(piece)
     return bytes([int(coded[1], 16)]) if coded else piece.replace(SPACE, " ").encode("utf-8", "surrogatepass")
@@ -81,7 +74,7 @@ class Tokens:
         self.a = Tokenizer.from_str(a_data)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_data)
-        alphabet = byte_alphabet()
+        alphabet = {c: b for b, c in byte_alphabet().items()}
         size = self.a.get_vocab_size(with_added_tokens=True)
         entries = [self.a.id_to_token(i) or "" for i in range(size)]
         a_bytes = [bytes(alphabet[c] for c in e) if all(c in alphabet for c in e) else e.encode("utf-8") for e in entries]

@@ -18,7 +18,6 @@ spans blocks is put together from what each of them adds to its checksum.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -28,38 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateweave.llm import rans
-from rateweave.llm._common import free_name
-from rateweave.llm._memo import Memo, kept_by_worker
+from rateweave.llm._memo import kept_by_worker
+from rateweave.llm.word_tokens import WordTokens
 from rateweave.session import fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: The longest segment that a worker remembers, and characters of text turned into one result.
-LONGEST, PART_CHARS = 48, 2_000_000
-
-
-class Segments:
-    """Token ids of texts, packed; equal to the library's ids of the whole text.
-
-    ``words_apart``: the tokenizer drops white space and no token spans it, so
-    texts are cut at spaces and the ids of a segment are learnt once.
-    """
-
-    def __init__(self, data: str, words_apart: bool, wide: bool):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.words_apart, self.kind = Tokenizer.from_str(data), words_apart, "<u4" if wide else "<u2"
-        self.memo = Memo(self._learn, lambda k: len(k) <= LONGEST)
-
-    def _learn(self, parts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(c.ids, dtype=self.kind).tobytes() for c in coded]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.words_apart:
-            return self._learn(texts)
-        return [b"".join(found) for found in self.memo.of([t.split(" ") for t in texts])]
+#: Characters of text that are turned into one result.
+PART_CHARS = 1_000_000
 
 
 def parts_of(texts: pa.Array, limit: int = PART_CHARS) -> Iterator[list[str | None]]:
@@ -75,35 +50,37 @@ def parts_of(texts: pa.Array, limit: int = PART_CHARS) -> Iterator[list[str | No
         yield part
 
 
-def tokenized(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int, words_apart: bool = True) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
     """``(id, ids)``: every row's token ids with the end id, little-endian, 16 bits each if the vocabulary allows."""
     with open(tokenizer, encoding="utf-8") as f:
         data = f.read()
-    wide = _wide(data)
-    kind = "<u4" if wide else "<u2"
     shared = docs.sparkSession.sparkContext.broadcast(data)
+    name = f"word tokens {zlib.crc32(data.encode())}"
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = kept_by_worker(f"segments {zlib.crc32(data_of(shared))} {words_apart}", lambda: Segments(shared.value, words_apart, wide))
-        end = np.array([end_id], dtype=kind).tobytes()
+        coder = kept_by_worker(name, lambda: WordTokens(shared.value))
         for texts in batches:
             for part in parts_of(texts):
-                yield pa.array([ids + end for ids in coder.encode([t or "" for t in part])], pa.binary())
+                ids, sizes = coder.encode([t or "" for t in part], end_id)
+                ends = np.concatenate([[0], np.cumsum(sizes)]) * ids.itemsize
+                yield pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
 
     return docs.select(F.col(id_col).alias("id"), run(F.col(text_col)).alias("ids"))
 
 
-def data_of(shared) -> bytes:
-    return shared.value.encode("utf-8")
-
-
 def _wide(data: str) -> bool:
     from tokenizers import Tokenizer
 
     return Tokenizer.from_str(data).get_vocab_size(with_added_tokens=True) > 1 << 16
 
 
+def _flat(lists: pa.Array, kind: str) -> np.ndarray:
+    """The numbers of all packed lists of an array, in a row."""
+    ends = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1]
+    return np.frombuffer(lists.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind)
+
+
 def counted(lists: DataFrame, wide: bool) -> DataFrame:
     """``(token, n)`` over all rows; each task adds up its own before the shuffle."""
     kind = "<u4" if wide else "<u2"
@@ -111,11 +88,10 @@ def counted(lists: DataFrame, wide: bool) -> DataFrame:
     def run(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                own = np.bincount(np.frombuffer(ids.as_buffer(), kind))
-                if len(own) > len(total):
-                    total = np.concatenate([total, np.zeros(len(own) - len(total), dtype=np.int64)])
-                total[: len(own)] += own
+            if batch.num_rows:
+                own = np.bincount(_flat(batch.column(0), kind))
+                total, own = (x if len(x) >= len(y) else np.pad(x, (0, len(y) - len(x))) for x, y in ((total, own), (own, total)))
+                total = total + own
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["token", "n"])
 
@@ -129,7 +105,6 @@ def write(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = END_ID,
-    words_apart: bool = True,
     block_ids: int = rans.BLOCK_IDS,
 ) -> None:
     """Write the archive of ``docs`` to the new folder ``path``.
@@ -144,7 +119,7 @@ def write(
         wide = _wide(f.read())
     kind = "<u4" if wide else "<u2"
     lists = fresh_path(spark, "token-lists")
-    rows = tokenized(docs, tokenizer, id_col, text_col, end_id, words_apart)
+    rows = tokenized(docs, tokenizer, id_col, text_col, end_id)
     rows.write.option("compression", "zstd").parquet(lists)
     rows = spark.read.schema(rows.schema).parquet(lists)
     # One row for each token id at most: the vocabulary bounds what the driver gets and broadcasts.

@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import bisect
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from rateweave.llm import token_alignment
+from rateweave.llm.word_tokens import byte_alphabet
+from tests.conftest import SF001
+
+A_PATH, B_PATH = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+
+
+@pytest.fixture(scope="module")
+def tokens():
+    with open(A_PATH, encoding="utf-8") as a, open(B_PATH, "rb") as b:
+        return token_alignment.Tokens(a.read(), b.read())
+
+
+def brute(libraries, text):
+    """(A tokens, B tokens, groups, links by pair, digest) from whole encodings and plain offsets; None without tokens."""
+    if not text:
+        return None
+    a, b = libraries
+    alphabet = {c: b for b, c in byte_alphabet().items()}
+    one, two = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    raw = [
+        [bytes(alphabet[c] for c in a.id_to_token(i)) for i in one],
+        [token_alignment.piece_bytes(b.id_to_piece(i)) for i in two],
+    ]
+    if any(b"".join(side) != (" " + text).encode() for side in raw):
+        return None
+    ends = [[sum(map(len, side[: n + 1])) for n in range(len(side))] for side in raw]
+    cuts = sorted(set(ends[0]) & set(ends[1]))
+    groups = [defaultdict(list), defaultdict(list)]
+    for side, ids in enumerate((one, two)):
+        for i, end in zip(ids, ends[side]):
+            groups[side][bisect.bisect_left(cuts, end)].append(i)
+    links = Counter((x, y) for g in range(len(cuts)) for x in groups[0][g] for y in groups[1][g])
+    said = ";".join(",".join(map(str, groups[0][g])) + "|" + ",".join(map(str, groups[1][g])) for g in range(len(cuts)))
+    return len(one), len(two), len(cuts), links, hashlib.sha256(said.encode()).hexdigest()
+
+
+def brute_table(libraries, texts):
+    """The operator's columns for every text, with corpus-wide counts."""
+    found = [brute(libraries, t) for t in texts]
+    counts = Counter(pair for f in found if f for pair in f[3])
+    most = defaultdict(int)
+    for (x, _), n in counts.items():
+        most[x] = max(most[x], n)
+    out = []
+    for f in found:
+        if f is None:
+            out.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_best = sum(n for pair, n in f[3].items() if counts[pair] == most[pair[0]])
+        out.append((*f[:3], sum(f[3].values()), n_best, sum(n * counts[pair] for pair, n in f[3].items()), f[4]))
+    return out
+
+
+ODD = [
+    "a", "foo", " ", "  ", "\n", "\t", "é", "日本", "'s", "don't", "<|endoftext|>", "<s>", "▁", " ", "\x1c", "\x85", "1234",
+    ".", "...", "Wörter", "é", "😀", "<0x41>", "　", "  x", " \n y", "\x00", "\r\n",
+]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_texts_of_odd_pieces(libraries, tokens, seed):
+    rng = random.Random(seed)
+    for _ in range(300):
+        text = "".join(rng.choice(ODD) + " " * (rng.random() < 0.4) for _ in range(rng.randrange(1, 14)))
+        want, got = brute(libraries, text), tokens.aligned(text)
+        if want is None:
+            assert got[:5] == (0, 0, 0, 0, ""), text
+            continue
+        assert got[:5] == (*want[:3], sum(want[3].values()), want[4]), text
+        assert dict(zip(got[5].tolist(), got[6].tolist())) == {x << 32 | y: n for (x, y), n in want[3].items()}
+
+
+def test_slices_of_a_long_text_are_one_alignment(libraries, tokens, monkeypatch):
+    text = "several words that come, again and again. " * 40
+    whole = tokens.aligned(text)
+    monkeypatch.setattr(token_alignment, "SLICE_SEGMENTS", 7)
+    sliced = tokens.aligned(text)
+    assert sliced[:5] == whole[:5] and all((x == y).all() for x, y in zip(sliced[5:], whole[5:]))
+    assert whole[:3] == brute(libraries, text)[:3]
+
+
+@pytest.mark.parametrize("max_pairs", [token_alignment.MAX_PAIRS, 900])
+def test_documents_against_brute_force(spark, libraries, max_pairs):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    rows = sorted(map(tuple, docs.collect()))
+    got = token_alignment.aligned(docs, A_PATH, B_PATH, max_pairs=max_pairs).collect()
+    want = brute_table(libraries, [t for _, t in rows])
+    assert sorted((r["doc_id"], *(r[c] for c in COLUMNS)) for r in got) == [(i, *w) for (i, _), w in zip(rows, want)]
+
+
+def test_odd_rows(spark, libraries, docs_of):
+    """Nulls, empty texts, repeated rows and ids, texts that don't come back, columns with names used inside."""
+    rows = [(1, None), (2, ""), (None, "no id here"), (3, "same words"), (3, "same words"), (3, "other words"), (4, "a ▁ b"), (5, "x " * 30_000)]
+    got = token_alignment.aligned(docs_of(rows), A_PATH, B_PATH).collect()
+    want = brute_table(libraries, [t if t is None or len(t) < 1000 else None for _, t in rows])
+    found = sorted(((r["doc_id"], *(r[c] for c in COLUMNS)) for r in got if r["doc_id"] != 5), key=repr)
+    short = [(i, *w) for (i, _), w in zip(rows, want) if i != 5]
+    assert found == sorted(short, key=repr)
+    long = next(r for r in got if r["doc_id"] == 5)
+    assert long["n_groups"] == 30_001 and long["n_a"] >= 30_000
+
+
+def test_empty_table(spark, docs_of):
+    assert token_alignment.aligned(docs_of([(1, "x")]).limit(0), A_PATH, B_PATH).count() == 0
+
+
+def test_memo_keeps_two_generations():
+    from rateweave.llm._memo import Memo
+
+    asked = []
+
+    def learn(keys):
+        asked.extend(keys)
+        return [k * 2 for k in keys]
+
+    memo = Memo(learn, lambda k: len(k) < 3, limit=2)
+    assert memo.of([["a", "b", "a"], ["c"], []]) == [["aa", "bb", "aa"], ["cc"], []]
+    assert memo.of([["a", "long", "long"]]) == [["aa", "longlong", "longlong"]] and asked == ["a", "b", "c", "long"]
+    memo.of([["long"]])
+    assert asked == ["a", "b", "c", "long", "long"] and len(memo.recent) + len(memo.older) <= 6
