@@ -276,6 +276,8 @@ def trie(
     active = found.select(
         root.alias("head"), F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent"), "path", "chars", "n", "conv_id", "ends"
     )
+    # Written, or the optimiser would see one constant head and join without a key.
+    active = stored(active, "trie-active")
     small, rounds = _burst(active, container)
     nodes = _swept(reduce(DataFrame.unionByName, small))
     below = nodes.where(F.col("head").isNotNull()).select("head", "parent", "n_leaves", "saved_tokens")
