@@ -1,15 +1,12 @@
-"""What a worker process has learnt, kept from task to task and bounded."""
+"""What a worker process has learnt, kept from task to task: hashed keys, and lists of numbers in a pool."""
 
 from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable, Hashable
+from collections.abc import Callable
 
-#: Entries of one generation; two are held.
-REMEMBERED = 400_000
-#: Entries that are learnt at once.
-LEARNT = 20_000
+import numpy as np
 
 
 def kept_by_worker(name: str, make: Callable[[], object]) -> object:
@@ -20,40 +17,82 @@ def kept_by_worker(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
-class Memo:
-    """Values of keys, the recently used ones in memory.
-
-    Two generations of at most about ``limit`` entries: a full one becomes the
-    older one, whose entries come back when they are asked for again.
-    ``learn`` gives the values of new keys; keys for which ``worth`` is false
-    (too long ones) are not kept.
-    """
-
-    def __init__(self, learn: Callable[[list], list], worth: Callable[[Hashable], bool], limit: int = REMEMBERED):
-        self.learn, self.worth, self.limit = learn, worth, limit
-        self.recent: dict = {}
-        self.older: dict = {}
-
-    def of(self, lists: list[list]) -> list[list]:
-        """For each list of keys, the list of their values."""
-        found = [list(map(self.recent.get, keys)) for keys in lists]
-        holes = [(keys, values) for keys, values in zip(lists, found) if None in values]
-        if not holes:
-            return found
-        fresh: dict = {}
-        for keys, values in holes:
-            fresh.update((k, None) for k, v in zip(keys, values) if v is None)
-        new = []
-        for k in fresh:
-            fresh[k] = self.older.get(k)
-            if fresh[k] is None:
-                new.append(k)
-        for start in range(0, len(new), LEARNT):
-            part = new[start : start + LEARNT]
-            fresh.update(zip(part, self.learn(part)))
-        for keys, values in holes:
-            values[:] = [fresh[k] if v is None else v for k, v in zip(keys, values)]
-        self.recent.update((k, v) for k, v in fresh.items() if self.worth(k))
-        if len(self.recent) > self.limit:
-            self.older, self.recent = self.recent, {}
+class Index:
+    """Row numbers of 64-bit hashes, in order of their coming."""
+
+    def __init__(self):
+        # Sorted hashes with their rows: most of them, and the latest.
+        self.parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
+        self.size = 0
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        found = np.full(len(hashes), -1, dtype=np.int64)
+        for keys, rows in self.parts:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                hit = keys[at] == hashes
+                found[hit] = rows[at[hit]]
         return found
+
+    def rows(self, hashes: np.ndarray, learn: Callable[[np.ndarray], None]) -> np.ndarray:
+        """The row of each hash; ``learn`` gets the positions of the first of each new one, to append their values."""
+        distinct, first, same = np.unique(hashes, return_index=True, return_inverse=True)
+        found = self._find(distinct)
+        new = found < 0
+        if new.any():
+            learn(first[new])
+            found[new] = np.arange(self.size, self.size + int(new.sum()))
+            self.size += int(new.sum())
+            self.parts[1] = _merged(self.parts[1], (distinct[new], found[new]))
+            if len(self.parts[1][0]) > 1 << 16:
+                self.parts = [_merged(*self.parts), (np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        return found[same]
+
+
+def _merged(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.concatenate([one[0], two[0]])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], np.concatenate([one[1], two[1]])[order]
+
+
+class Grown:
+    """An array that is appended to."""
+
+    def __init__(self, kind: type):
+        self.data, self.size = np.zeros(1024, dtype=kind), 0
+
+    def append(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.data):
+            more = np.zeros(max(2 * len(self.data), self.size + len(values)), dtype=self.data.dtype)
+            more[: self.size] = self.data[: self.size]
+            self.data = more
+        self.data[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
+class Lists:
+    """Lists of numbers in one pool."""
+
+    def __init__(self, kind: type):
+        self.pool, self.begins, self.sizes = Grown(kind), Grown(np.int64), Grown(np.int32)
+
+    def append(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """More lists: their numbers in a row, and how many each has."""
+        self.begins.append(self.pool.size + np.cumsum(sizes) - sizes)
+        self.sizes.append(sizes)
+        self.pool.append(flat)
+
+    def gathered(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows' lists one after the other, and their sizes."""
+        sizes = self.sizes.data[rows].astype(np.int64)
+        return self.pool.data[runs(self.begins.data[rows], sizes)], sizes
+
+
+def runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, as many as its size, one run after the other."""
+    return np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def flat_lists(lists: list[list[int]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The lists' numbers in a row, and how many each has."""
+    return np.array([v for x in lists for v in x], dtype=kind), np.array([len(x) for x in lists], dtype=np.int64)

@@ -83,21 +83,39 @@ def test_texts_of_odd_pieces(libraries, tokens, seed):
     rng = random.Random(seed)
     for _ in range(300):
         text = "".join(rng.choice(ODD) + " " * (rng.random() < 0.4) for _ in range(rng.randrange(1, 14)))
-        want, got = brute(libraries, text), tokens.aligned(text)
+        want, (got,) = brute(libraries, text), tokens.aligned([text])
         if want is None:
             assert got[:5] == (0, 0, 0, 0, ""), text
             continue
         assert got[:5] == (*want[:3], sum(want[3].values()), want[4]), text
-        assert dict(zip(got[5].tolist(), got[6].tolist())) == {x << 32 | y: n for (x, y), n in want[3].items()}
+        assert dict(zip(got[5].tolist(), got[6].tolist())) == {x * tokens.sizes[1] + y: n for (x, y), n in want[3].items()}
+
+
+def test_a_batch_is_its_texts(libraries, tokens):
+    rng = random.Random(9)
+    texts = [None, "", *("".join(rng.choice(ODD) + " " * (rng.random() < 0.4) for _ in range(rng.randrange(1, 9))) for _ in range(400))]
+    together, alone = tokens.aligned(texts), [tokens.aligned([t])[0] for t in texts]
+    for x, y in zip(together, alone):
+        assert x[:5] == y[:5] and (x[5] == y[5]).all() and (x[6] == y[6]).all()
 
 
 def test_slices_of_a_long_text_are_one_alignment(libraries, tokens, monkeypatch):
-    text = "several words that come, again and again. " * 40
-    whole = tokens.aligned(text)
-    monkeypatch.setattr(token_alignment, "SLICE_SEGMENTS", 7)
-    sliced = tokens.aligned(text)
-    assert sliced[:5] == whole[:5] and all((x == y).all() for x, y in zip(sliced[5:], whole[5:]))
+    text = "several words that come, again and again. \n  x" * 40 + "y" * 900 + " end"
+    (whole,) = tokens.aligned([text])
+    for size in (1, 50, 700):
+        monkeypatch.setattr(token_alignment, "SLICE_CHARS", size)
+        assert "".join(token_alignment.slices(text)) == " " + text
+        (sliced,) = tokens.aligned([text])
+        assert sliced[:5] == whole[:5] and all((x == y).all() for x, y in zip(sliced[5:], whole[5:]))
     assert whole[:3] == brute(libraries, text)[:3]
+    assert tokens.aligned([text + " ▁ more"])[0][:5] == (0, 0, 0, 0, "")
+
+
+def test_a_full_memory_starts_anew(libraries, tokens, monkeypatch):
+    monkeypatch.setattr(token_alignment, "REMEMBERED", 3)
+    for text in ("one two three four five", "one two six", "one two three four five"):
+        (got,) = tokens.aligned([text])
+        assert got[4] == brute(libraries, text)[4]
 
 
 @pytest.mark.parametrize("max_pairs", [token_alignment.MAX_PAIRS, 900])
@@ -123,19 +141,3 @@ def test_odd_rows(spark, libraries, docs_of):
 
 def test_empty_table(spark, docs_of):
     assert token_alignment.aligned(docs_of([(1, "x")]).limit(0), A_PATH, B_PATH).count() == 0
-
-
-def test_memo_keeps_two_generations():
-    from rateweave.llm._memo import Memo
-
-    asked = []
-
-    def learn(keys):
-        asked.extend(keys)
-        return [k * 2 for k in keys]
-
-    memo = Memo(learn, lambda k: len(k) < 3, limit=2)
-    assert memo.of([["a", "b", "a"], ["c"], []]) == [["aa", "bb", "aa"], ["cc"], []]
-    assert memo.of([["a", "long", "long"]]) == [["aa", "longlong", "longlong"]] and asked == ["a", "b", "c", "long"]
-    memo.of([["long"]])
-    assert asked == ["a", "b", "c", "long", "long"] and len(memo.recent) + len(memo.older) <= 6
