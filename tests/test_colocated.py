@@ -1,0 +1,115 @@
+"""Ratings and users bucketed alike: the same join, without moving the ratings."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from rateweave.plans import analyses as A
+from rateweave.plans import plan_text
+from rateweave.session import fresh_path
+from rateweave.sources import colocated
+from rateweave.sources.tables import Tables, load_tables
+from tests.conftest import SF001, rows
+from tests.test_plans import no_auto_broadcast
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return load_tables(spark, SF001)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, t):
+    return colocated.store_colocated(spark, t, fresh_path(spark, "colocated"), buckets=4)
+
+
+def _joined_tree(df) -> str:
+    return plan_text(df).split("\n\n")[0]
+
+
+def test_join_moves_neither_side(spark, t, stored):
+    with no_auto_broadcast(spark):
+        even = stored.ratings.join(stored.users, "UserID")
+        tree = _joined_tree(even)
+        assert "SortMergeJoin" in tree and "Exchange" not in tree
+        assert "Bucketed: true" in plan_text(even)
+        assert rows(colocated.ratings_with_users(stored)) == rows(A.ratings_with_users(t))
+
+
+def test_opened_again_it_is_still_bucketed(spark, t):
+    path = fresh_path(spark, "colocated")
+    colocated.store_colocated(spark, t, path, buckets=3)
+    again = colocated.open_colocated(spark, path)
+    assert again.buckets == 3
+    with no_auto_broadcast(spark):
+        assert "Exchange" not in _joined_tree(again.ratings.join(again.users, "UserID"))
+    assert rows(colocated.ratings_with_users(again)) == rows(A.ratings_with_users(t))
+    assert not [x.name for x in spark.catalog.listTables() if x.name.startswith("rw_colocated")]
+
+
+def _skewed(spark) -> Tables:
+    """A third of the ratings by one rater, some by nobody; a user listed twice, one who rated nothing."""
+    ids = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id") % 200 + 100)
+    ratings = spark.range(3000).select(
+        ids.cast("bigint").alias("UserID"), (F.col("id") % 17).alias("MovieID"), (F.col("id") % 5).cast("double").alias("Rating"),
+        F.col("id").alias("Timestamp"),
+    )
+    users = spark.range(90, 260).select(F.col("id").alias("UserID"), F.lit("F").alias("Gender"), F.lit("18").alias("Age"), F.lit(1).alias("OccupationID"))
+    more = spark.createDataFrame([(7, "M", "25", 2), (7, "M", "35", 2), (None, "F", "1", 3), (5000, "F", None, 3)], "UserID long, Gender string, Age string, OccupationID int")
+    return Tables(ratings, users.unionByName(more), None, None)
+
+
+def test_hot_and_missing_raters_are_kept_apart(spark):
+    t = _skewed(spark)
+    found = colocated.store_colocated(spark, t, fresh_path(spark, "colocated"), buckets=8)
+    assert found.ratings.count() + found.ratings_apart.count() == 3000
+    assert {r["UserID"] for r in found.ratings_apart.select("UserID").distinct().collect()} == {7, None}
+    assert found.users_apart.count() == 2
+    largest = found.ratings.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 600
+    assert rows(colocated.ratings_with_users(found)) == rows(A.ratings_with_users(t))
+
+
+def test_fewer_hot_raters_than_buckets(spark):
+    even = spark.range(1000).select((F.col("id") % 10).alias("UserID"))
+    assert colocated.hot_raters(even, 10).count() == 0  # each has exactly a bucket's share
+    assert colocated.hot_raters(even, 11).count() == 10
+    assert colocated.hot_raters(even.limit(0), 4).count() == 0
+
+
+def test_empty_tables(spark, t):
+    nothing = Tables(t.ratings.limit(0), t.users.limit(0), t.movies, t.occupations)
+    found = colocated.store_colocated(spark, nothing, fresh_path(spark, "colocated"), buckets=2)
+    assert colocated.ratings_with_users(found).count() == 0
+
+
+def test_existing_folder_is_refused(spark, t):
+    path = fresh_path(spark, "colocated")
+    colocated.store_colocated(spark, t, path, buckets=2)
+    with pytest.raises(Exception, match="(?i)exist"):
+        colocated.store_colocated(spark, t, path, buckets=2)
+
+
+def test_denormalised_copy_answers_without_a_join(spark, t):
+    copy = colocated.store_denormalised(spark, t, fresh_path(spark, "denormalised"))
+    assert dict(copy.dtypes)["Age"] == "string"
+    movie = t.ratings.groupBy("MovieID").count().orderBy(F.col("count").desc(), "MovieID").first()["MovieID"]
+    found = colocated.demographics(copy, movie)
+    assert rows(found, "Gender", "Age", "cnt") == rows(A.demographics(t, movie), "Gender", "Age", "cnt")
+    text = plan_text(found)
+    assert "Join" not in text and f"EqualTo(MovieID,{movie})" in text
+    counts = colocated.cohort_counts(copy, "18")
+    want = A.cohort_ratings(t, "18").groupBy("MovieID").count()
+    assert rows(counts, "MovieID", "cnt") == rows(want)
+    text = plan_text(counts)
+    assert "Join" not in text and "PartitionFilters: [isnotnull(Age" in text and "(Age" in text
+
+
+def test_denormalised_copy_keeps_a_missing_band(spark):
+    t = _skewed(spark)
+    users = t.users.withColumn("Age", F.when(F.col("UserID") > 200, F.lit(None)).otherwise(F.col("Age")))
+    copy = colocated.store_denormalised(spark, Tables(t.ratings, users, None, None), fresh_path(spark, "denormalised"))
+    rated = A.ratings_with_users(Tables(t.ratings, users, None, None))
+    assert rows(copy, "UserID", "MovieID", "Rating", "Gender", "Age") == rows(rated)
+    assert copy.where(F.col("Age").isNull()).count() > 0
