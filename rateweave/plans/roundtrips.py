@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rateweave.schemas import conform
+from rateweave.schemas import DECLARED, conform
 from rateweave.session import fresh_path
 from rateweave.sources.delimited import DEFAULT_SEP, parse_lines, read_delimited, to_lines
-from rateweave.sources.parquet import read_parquet, write_parquet
+from rateweave.sources.parquet import convert_to_parquet, read_parquet, write_parquet
+from rateweave.sources.tables import DAT_FILES
 
 
 def delimited_roundtrip(df: DataFrame, schema: StructType, *, padding: str = "", mode: str = "strict") -> DataFrame:
@@ -42,6 +43,25 @@ def parquet_roundtrip(spark: SparkSession, df: DataFrame, name: str = "roundtrip
     return read_parquet(spark, path)
 
 
+def dat_files(spark: SparkSession, relations: dict[str, DataFrame]) -> str:
+    """The relations as folders of ``::`` lines under a fresh base folder, with the dataset's file names.
+
+    A column that a relation lacks is an empty field.
+    """
+    base = fresh_path(spark, "dat")
+    for name, df in relations.items():
+        columns = [F.col(f.name) if f.name in df.columns else F.lit("").alias(f.name) for f in DECLARED[name].fields]
+        to_lines(df.select(*columns)).write.text(f"{base}/{DAT_FILES[name]}")
+    return base
+
+
+def converted_by_band(spark: SparkSession, relations: dict[str, DataFrame]) -> str:
+    """The relations as ``::`` files, users with ages in years, converted to Parquet by age band; returns the folder."""
+    out = fresh_path(spark, "converted")
+    convert_to_parquet(spark, dat_files(spark, relations), out, raw_ages=True, by_band=True)
+    return out
+
+
 def text_roundtrip(
     spark: SparkSession, listings: list[DataFrame], schema: StructType, name: str = "lines", seq_col: str | None = None
 ) -> DataFrame:
