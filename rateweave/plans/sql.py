@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from rateweave.sources.tables import Tables
@@ -26,26 +27,35 @@ GROUP BY u.Gender, u.Age
 """
 
 
-def register_views(spark: SparkSession, t: Tables, scope: str = "local", suffix: str = "") -> dict[str, str]:
+def register_views(
+    spark: SparkSession, t: Tables, scope: str = "local", suffix: str = "", replace: bool = True
+) -> dict[str, str]:
     """Register the four relations; returns the name to use for each in SQL.
 
     ``local`` views live in this session only; ``global`` views live in the
     global temporary database and are visible to every session of the
-    application.  ``createOrReplace`` lets a registration run twice.
+    application.  By default a registration may run twice; without
+    ``replace`` the second one fails with Spark's own error, and the views of
+    the first stay as they are: all four names are taken, or none.
     """
     if scope not in ("local", "global"):
         raise ValueError(f"unknown scope {scope!r}")
-    names = {}
+    names: dict[str, str] = {}
     global_db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
-    for relation in RELATIONS:
-        frame = getattr(t, relation)
-        view = f"{VIEW_PREFIX}{relation}{suffix}"
-        if scope == "local":
-            frame.createOrReplaceTempView(view)
-            names[relation] = view
-        else:
-            frame.createOrReplaceGlobalTempView(view)
-            names[relation] = f"{global_db}.{view}"
+    try:
+        for relation in RELATIONS:
+            frame = getattr(t, relation)
+            view = f"{VIEW_PREFIX}{relation}{suffix}"
+            if scope == "local":
+                (frame.createOrReplaceTempView if replace else frame.createTempView)(view)
+                names[relation] = view
+            else:
+                (frame.createOrReplaceGlobalTempView if replace else frame.createGlobalTempView)(view)
+                names[relation] = f"{global_db}.{view}"
+    except AnalysisException:
+        if not replace:  # the ones this call has registered, never those it found
+            drop_views(spark, names, scope)
+        raise
     return names
 
 
