@@ -30,8 +30,12 @@ from rateweave.operators import (  # noqa: E402
     where_suffix,
 )
 from rateweave.plans import analyses as A  # noqa: E402
-from rateweave.plans import roundtrips, sql  # noqa: E402
+from rateweave.plans import roundtrips, shared, sql  # noqa: E402
+from rateweave.session import fresh_path  # noqa: E402
+from rateweave.sources import colocated, rollup  # noqa: E402
+from rateweave.sources.parquet import load_by_band, load_converted  # noqa: E402
 from rateweave.sources.tables import Tables, load_tables  # noqa: E402
+from rateweave.sources.upsert import Listing  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -55,6 +59,9 @@ GENDER_SUFFIX = "Y"
 COHORT_A, COHORT_B = "18", "25"
 RATING_RANGE = (13, 18)
 TITLED_GENRES = "S"
+LABEL = "25-34"
+NEW_DAYS = "1995-06-17"
+PERIOD = ("1994-03-05", "1996-11-20")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -99,6 +106,75 @@ def _ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("p_size int").parquet(f"{sf_dir.rstrip('/')}/part.parquet")
 
 
+def _colocated_join(spark: SparkSession, t) -> DataFrame:
+    """Ratings and users stored in buckets, then joined bucket by bucket."""
+    return colocated.ratings_with_users(colocated.store_colocated(spark, t, fresh_path(spark, "colocated")), hint="merge")
+
+
+def _denormalised(spark: SparkSession, t) -> DataFrame:
+    return colocated.store_denormalised(spark, t, fresh_path(spark, "denormalised"))
+
+
+def _denormalised_top_titles(spark: SparkSession, t) -> DataFrame:
+    counted = colocated.cohort_counts(_denormalised(spark, t), COHORT_A).join(t.movies, "MovieID")
+    return A.top_k(counted, [F.col("cnt").desc(), F.col("MovieID").asc()], A.DEFAULT_K).select("Title", "cnt")
+
+
+def _converted(spark: SparkSession, sf_dir: str) -> str:
+    """The four relations as text files, ages in years (from the account balance), converted by age band."""
+    t = load_tables(spark, sf_dir)
+    customers = spark.read.schema("c_custkey bigint, c_acctbal double").parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
+    years = customers.select(F.col("c_custkey").alias("UserID"), (F.floor(F.col("c_acctbal") / 150) + 10).alias("Age"))
+    relations = {"ratings": t.ratings, "users": t.users.drop("Age").join(years, "UserID")}
+    return roundtrips.converted_by_band(spark, relations | {"movies": t.movies, "occupations": t.occupations})
+
+
+def _from_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.cohort_top_titles(load_converted(spark, _converted(spark, sf_dir)), COHORT_A)
+
+
+def _by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _converted(spark, sf_dir)
+    return A.cohort_top_titles_by_label(*load_by_band(spark, folder), load_converted(spark, folder).movies, LABEL)
+
+
+def _rollup(spark: SparkSession, t) -> DataFrame:
+    """State of two batches of days, and of one that comes late, added twice."""
+    path, day = fresh_path(spark, "rollup"), rollup.day_of(t.ratings)
+    late, old = F.col("MovieID") % 10 == 0, day < F.lit(NEW_DAYS).cast("date")
+    rollup.add_batch(path, "old", t.ratings.where(old & ~late))
+    rollup.add_batch(path, "new", t.ratings.where(~old & ~late))
+    for _ in range(2):
+        rollup.add_batch(path, "late", t.ratings.where(late))
+    return rollup.state(spark, path, t.ratings.schema["MovieID"].dataType.simpleString())
+
+
+def _upserted(spark: SparkSession, t) -> DataFrame:
+    """The movies' titles after two newer listings, of which the older one comes last."""
+    base = t.movies.select("MovieID", "Title", "Genres", F.lit(0).cast("bigint").alias("seq"))
+    capitals = base.where("MovieID % 3 = 0").withColumns({"Title": F.upper("Title"), "seq": F.lit(2)})
+    turned = base.where("MovieID % 5 = 0").withColumns({"Title": F.reverse("Title"), "seq": F.lit(1)})
+    added = base.where("MovieID % 7 = 0").withColumn("MovieID", F.col("MovieID") + 10_000_000)
+    stored = Listing(spark, fresh_path(spark, "listing"), base.schema, "MovieID", "seq")
+    for newer in (base, capitals, turned.unionByName(added)):
+        stored.merge(newer)
+    return stored.rows().select("MovieID", "Title", "Genres")
+
+
+def _two_genders(spark: SparkSession, t) -> DataFrame:
+    """Both genders' top lists from one shared join (ten rows each)."""
+    lists = shared.top_rated_by_genders(t, [MALE, FEMALE])
+    found = [(g, r["MovieID"], r["avg_rating"]) for g, top in lists.items() for r in top]
+    return spark.createDataFrame(found, "Gender string, MovieID bigint, avg_rating double")
+
+
+def _null_keys(t) -> DataFrame:
+    """The rating-user join where some ratings have no rater and some users no id."""
+    ratings = t.ratings.withColumn("UserID", F.expr("if(MovieID % 7 = 0, NULL, UserID)"))
+    users = t.users.withColumn("UserID", F.expr("if(UserID % 5 = 0, NULL, UserID)"))
+    return A.ratings_with_users(replace(t, ratings=ratings, users=users))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources
@@ -150,6 +226,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "title_last_wins_files": _t(lambda s, t: A.titles_last_wins(_listed_in_files(s, t), "seq")),
         "latest_reviews": _t(lambda s, t: A.latest_reviews(t)),
         "sample_ratings": _t(lambda s, t: _sampled_and_found(t)),
+        # stored forms: co-located, denormalised, by age band, mergeable sums, merged listings
+        "join_ratings_users_colocated": _t(_colocated_join),
+        "demographics_denormalised": _t(lambda s, t: colocated.demographics(_denormalised(s, t), MOVIE)),
+        "cohort_top_titles_denormalised": _t(_denormalised_top_titles),
+        "cohort_top_titles_from_years": _from_years,
+        "cohort_top_titles_by_label": _by_label,
+        "avg_rating_merged": _t(lambda s, t: rollup.averages(_rollup(s, t))),
+        "avg_rating_in_period": _t(lambda s, t: rollup.averages(_rollup(s, t), *PERIOD)),
+        "titles_upserted": _t(_upserted),
+        # complete rankings, sets of ids, a shared join, NULL keys
+        "rank_all_by_average": _t(lambda s, t: A.ranked_by_average(t)),
+        "rank_all_by_count": _t(lambda s, t: A.ranked_by_count(t)),
+        "distinct_cohort_users_bitmap": _t(lambda s, t: A.cohort_raters_bitmap(t, COHORT_A)),
+        "cohort_semi_join_bitmap": _t(lambda s, t: A.cohort_ratings_bitmap(t, COHORT_A)),
+        "raters_by_month_bitmap": _t(lambda s, t: A.raters_by_month(t.ratings)),
+        "top_rated_two_genders_shared": _t(_two_genders),
+        "join_null_keys": _t(lambda s, t: _null_keys(t)),
         **LLM_QUERIES,
     }
 
@@ -217,6 +310,20 @@ _LAST_WINS = """
   SELECT {id} AS MovieID, upper(Title) AS Title, 1 AS seq FROM movies)
 SELECT MovieID, arg_max(Title, seq) AS Title FROM listed GROUP BY MovieID"""
 
+_BANDED_YEARS = """
+, aged AS (SELECT c_custkey AS UserID, floor(c_acctbal / 150) + 10 AS years FROM customer),
+banded AS (
+  SELECT UserID, CASE WHEN years IS NULL THEN NULL WHEN years < 18 THEN '1' WHEN years < 25 THEN '18' WHEN years < 35 THEN '25'
+              WHEN years < 45 THEN '35' WHEN years < 50 THEN '45' WHEN years < 56 THEN '50' ELSE '56' END AS Age
+  FROM aged),
+counted AS (
+  SELECT r.MovieID, m.Title, count(*) AS cnt
+  FROM ratings r JOIN banded b ON r.UserID = b.UserID JOIN movies m ON r.MovieID = m.MovieID
+  WHERE b.Age = '{age}' GROUP BY r.MovieID, m.Title)
+SELECT Title, cnt FROM counted ORDER BY cnt DESC, CAST(MovieID AS VARCHAR) LIMIT 10"""
+
+_DAY = """(DATE '1970-01-01' + CAST(floor("Timestamp" / 86400) AS INTEGER))"""
+
 _BODIES = {
     "scan_delimited_movies": "SELECT CAST(MovieID AS VARCHAR) AS MovieID, Title, Genres FROM movies",
     "scan_delimited_ratings": _TYPED_RATINGS,
@@ -290,6 +397,46 @@ WHERE "rank" <= 10""",
 SELECT UserID, MovieID, Rating, "Timestamp" FROM ratings
 ORDER BY "Timestamp" DESC, Rating DESC, UserID, MovieID LIMIT 10""",
     "sample_ratings": "SELECT least(10, count(*)) AS n FROM ratings",
+    "join_ratings_users_colocated": _JOINED,
+    "demographics_denormalised": _DEMOGRAPHICS,
+    "cohort_top_titles_denormalised": _COHORT_TOP_INNER.format(age=COHORT_A),
+    "cohort_top_titles_from_years": _BANDED_YEARS.format(age=COHORT_A),
+    "cohort_top_titles_by_label": _BANDED_YEARS.format(age="25"),
+    "avg_rating_merged": "SELECT MovieID, avg(Rating) AS avg_rating FROM ratings GROUP BY MovieID",
+    "avg_rating_in_period": f"""
+SELECT MovieID, avg(Rating) AS avg_rating FROM ratings
+WHERE {_DAY} BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}' GROUP BY MovieID""",
+    "titles_upserted": """
+, listed AS (
+  SELECT MovieID, Title, Genres, 0 AS seq FROM movies
+  UNION ALL SELECT MovieID, upper(Title), Genres, 2 FROM movies WHERE MovieID % 3 = 0
+  UNION ALL SELECT MovieID, reverse(Title), Genres, 1 FROM movies WHERE MovieID % 5 = 0
+  UNION ALL SELECT MovieID + 10000000, Title, Genres, 0 FROM movies WHERE MovieID % 7 = 0)
+SELECT MovieID, arg_max(Title, seq) AS Title, arg_max(Genres, seq) AS Genres FROM listed GROUP BY MovieID""",
+    "rank_all_by_average": """
+, averages AS (SELECT MovieID, avg(Rating) AS avg_rating FROM ratings GROUP BY MovieID)
+SELECT MovieID, avg_rating, row_number() OVER (ORDER BY avg_rating DESC NULLS LAST, MovieID) AS position FROM averages""",
+    "rank_all_by_count": """
+, counts AS (SELECT MovieID, count(*) AS cnt FROM ratings GROUP BY MovieID)
+SELECT MovieID, cnt, row_number() OVER (ORDER BY cnt DESC, MovieID) AS position, rank() OVER (ORDER BY cnt DESC) AS "rank" FROM counts""",
+    "distinct_cohort_users_bitmap": (
+        f"SELECT DISTINCT r.UserID FROM ratings r JOIN users u ON r.UserID = u.UserID WHERE u.Age = '{COHORT_A}'"
+    ),
+    "cohort_semi_join_bitmap": f"SELECT * FROM ratings WHERE UserID IN (SELECT UserID FROM users WHERE Age = '{COHORT_A}')",
+    "raters_by_month_bitmap": f"""
+SELECT strftime({_DAY}, '%Y-%m') AS month, count(DISTINCT UserID) AS raters FROM ratings GROUP BY 1
+UNION ALL SELECT 'all', count(DISTINCT UserID) FROM ratings""",
+    "top_rated_two_genders_shared": f"""
+, averages AS (
+  SELECT u.Gender, r.MovieID, avg(r.Rating) AS avg_rating
+  FROM ratings r JOIN users u ON r.UserID = u.UserID WHERE u.Gender IN ('{MALE}', '{FEMALE}')
+  GROUP BY u.Gender, r.MovieID)
+SELECT Gender, MovieID, avg_rating FROM averages
+QUALIFY row_number() OVER (PARTITION BY Gender ORDER BY avg_rating DESC, MovieID) <= 10""",
+    "join_null_keys": """
+SELECT r.UserID, r.MovieID, r.Rating, u.Gender, u.Age
+FROM ratings r JOIN users u ON r.UserID = u.UserID
+WHERE r.MovieID % 7 <> 0 AND u.UserID % 5 <> 0""",
 }
 
 

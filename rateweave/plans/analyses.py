@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from rateweave.functions.bands import age_band, age_label
 from rateweave.functions.ordering import as_string_id
 from rateweave.operators.aggregates import avg_by, count_by, distinct_values, last_wins
+from rateweave.operators.bitmaps import bitmaps, distinct_counts, members, where_member
 from rateweave.operators.filters import where_equals, where_suffix
 from rateweave.operators.joins import join_dimension, lookup_after_top, semi_join
+from rateweave.operators.ranking import ranked, with_ties
 from rateweave.operators.topk import latest, top_k, top_k_per_group
+from rateweave.sources.rollup import day_of
 from rateweave.sources.tables import Tables
 
 DEFAULT_MOVIE = 1193
@@ -163,6 +166,20 @@ def cohort_top_movies_semi(
     return lookup_after_top(top, t.movies, "MovieID", "Title", seq=seq).select("MovieID", "cnt", "Title")
 
 
+def cohort_top_titles_by_label(
+    banded: DataFrame, bands: DataFrame, movies: DataFrame, label: str, k: int = DEFAULT_K
+) -> DataFrame:
+    """Most-rated titles in the age band of a label, from ratings stored by band.
+
+    The label chooses the band's code at run time, and only that folder of
+    the ratings is scanned (dynamic partition pruning); nobody is joined.
+    ``bands`` has one row a band, seven of them.
+    """
+    wanted = F.broadcast(bands.where(F.col("AgeLabel") == F.lit(label)).select("Age"))
+    counted = count_by(banded.join(wanted, "Age"), "MovieID").join(movies, "MovieID")
+    return top_k(counted, [F.col("cnt").desc(), F.col("MovieID").asc()], k).select("Title", "cnt")
+
+
 def cohort_ratings(t: Tables, age: str) -> DataFrame:
     """Ratings given by the users of one age band."""
     return semi_join(t.ratings, _cohort_users(t.users, age), "UserID")
@@ -184,6 +201,36 @@ def raw_age_bands(people: DataFrame, years: str) -> DataFrame:
     return count_by(banded, "Age").select("Age", age_label(F.col("Age")).alias("AgeLabel"), "cnt")
 
 
+# --- complete rankings and sets of ids ---------------------------------------
+
+
+def ranked_by_average(t: Tables) -> DataFrame:
+    """Every movie with its place by average rating, ties by MovieID ascending."""
+    return ranked(avg_rating_by_movie(t), [F.col("avg_rating").desc_nulls_last(), F.col("MovieID").asc()])
+
+
+def ranked_by_count(t: Tables) -> DataFrame:
+    """Every movie with its place by number of ratings, and the place that equal numbers share."""
+    return with_ties(ranked(count_by_movie(t), [F.col("cnt").desc(), F.col("MovieID").asc()]), "cnt")
+
+
+def cohort_raters_bitmap(t: Tables, age: str) -> DataFrame:
+    """The set of user ids of one age band that have rated anything, through bitmaps."""
+    return members(bitmaps(cohort_ratings(t, age), "UserID"), "UserID")
+
+
+def cohort_ratings_bitmap(t: Tables, age: str) -> DataFrame:
+    """Ratings given by the users of one age band, by a bitmap of the cohort."""
+    return where_member(t.ratings, "UserID", bitmaps(_cohort_users(t.users, age), "UserID"))
+
+
+def raters_by_month(ratings: DataFrame) -> DataFrame:
+    """Distinct raters of each month and, from the same sets, of the whole time (month ``all``)."""
+    sets = bitmaps(ratings.select(F.date_format(day_of(ratings), "yyyy-MM").alias("month"), "UserID"), "UserID", ["month"])
+    whole = distinct_counts(sets, alias="raters").select(F.lit("all").alias("month"), "raters")
+    return distinct_counts(sets, ["month"], alias="raters").unionByName(whole)
+
+
 # --- dimensions and recency ------------------------------------------------
 
 
