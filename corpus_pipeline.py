@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from rateweave.llm import containment_search, pii_surrogates, quality_ftrl, sentencepiece_codec, simhash_ball
 from rateweave.llm._common import stored
 
+#: The setting that holds the key of the stand-ins, and the key of runs over synthetic tables, which set none.
+PII_KEY_SETTING, SYNTHETIC_KEY = "spark.rateweave.piiKey", "synthetic tables only"
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, holds good."""
@@ -32,7 +35,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with personal data replaced by stand-ins and its length counted anew."""
-    replaced = pii_surrogates.surrogates(docs)
+    key = spark.conf.get(PII_KEY_SETTING, SYNTHETIC_KEY)
+    replaced = pii_surrogates.surrogates(docs, key.encode())
     counted = F.length("text").cast(docs.schema["n_chars"].dataType)
     return replaced.withColumn("n_chars", F.when(F.col("text").isNotNull(), counted).otherwise(F.col("n_chars")))
 

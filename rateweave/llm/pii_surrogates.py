@@ -20,6 +20,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -28,8 +29,6 @@ from pyspark.sql import functions as F
 
 from rateweave.llm._common import free_name, stored
 
-DEFAULT_KEY = b"replace this key"
-
 # Honorifics with the gender they tell, and common given names by gender and script.
 TITLES = {
     "Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Господин": "m", "Κύριος": "m",
@@ -71,7 +70,6 @@ _UPPER, _LOWER = "A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆ-Ώ", "a-zß-öø-ÿа-яёα-ώά-
 _NAME_WORD = f"[{_UPPER}][{_LOWER}]+(?:[-'’][{_UPPER}]?[{_LOWER}]+)?"
 _GENDER = {name: g for g, names in GIVEN.items() for name in names.split()}
 _PATTERNS = {
-    "email": re.compile(r"[\w.+-]*[\w+-]@[A-Za-z0-9](?:[\w-]*\.)+[A-Za-z]{2,}"),
     "phone": re.compile(
         r"(?<![\w+.-])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+1 ?\d{10}"
         r"|\+[2-9]\d{0,2}(?:[ .-]?(?:\(\d{1,4}\)|\d{2,4})){2,5})(?!\w|\.\d)"
@@ -88,6 +86,11 @@ _PATTERNS = {
 # Card numbers as they are usually grouped, and accounts of any country in groups of four.
 _CARD_GROUPS = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}")
 _IBAN_GROUPS = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+# An address's longest local part and domain; what follows the sign, and the ends it may have.
+_LOCAL, _DOMAIN = 64, 255
+_DOMAIN_RUN, _TOP_LEVEL = re.compile(r"[A-Za-z0-9][\w.-]*"), re.compile(r"\.[A-Za-z]{2,}")
+#: Digits of a card number.
+_CARD_DIGITS = range(13, 20)
 _DIGITS, _WORD = re.compile(r"\d+"), re.compile(r"\w")
 _TITLED = re.compile(rf"\b({'|'.join(TITLES)})\b\.?[ \u00a0]+({_NAME_WORD}(?:[ \u00a0]{_NAME_WORD}){{0,2}})")
 _GIVEN_FIRST = re.compile(rf"\b((?:{'|'.join(_GENDER)})[ \u00a0]{_NAME_WORD})")
@@ -151,6 +154,31 @@ def _ibans(text: str) -> Iterator[Entity]:
                 break
 
 
+def _emails(text: str) -> Iterator[Entity]:
+    """Addresses, found from their ``@``: at most 64 characters before it and 255 after it are looked at."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start, lowest = at, max(done, at - _LOCAL - 1)
+        while start > lowest and (text[start - 1].isalnum() or text[start - 1] in "_.+-"):
+            start -= 1
+        run = _DOMAIN_RUN.match(text, at + 1, at + 2 + _DOMAIN)
+        if 0 < at - start <= _LOCAL and text[at - 1] != "." and run and len(run[0]) <= _DOMAIN:
+            tops = list(_TOP_LEVEL.finditer(run[0]))
+            if tops:
+                done = at + 1 + tops[-1].end()
+                yield Entity(start, done, "email", text[start:done].lower())
+        at = text.find("@", max(at + 1, done))
+
+
+def _checked(digits: str) -> tuple[list[int], list[int]]:
+    """Running sums of a card's check: with the digits at even places doubled, and at odd ones."""
+    plain = [int(d) for d in digits]
+    doubled = [2 * d - 9 if d > 4 else 2 * d for d in plain]
+    even, odd = plain[:], plain[:]
+    even[::2], odd[1::2] = doubled[::2], doubled[1::2]
+    return [0, *accumulate(even)], [0, *accumulate(odd)]
+
+
 def _cards(text: str) -> Iterator[tuple[int, Entity]]:
     """Every run of whole groups of digits with a card number's length and check digit; they may overlap.
 
@@ -158,15 +186,19 @@ def _cards(text: str) -> Iterator[tuple[int, Entity]]:
     """
     for m in _PATTERNS["card"].finditer(text):
         groups = [g.span() for g in _DIGITS.finditer(text, *m.span())]
+        digits = "".join([text[a:z] for a, z in groups])
+        sums, ends = _checked(digits), list(accumulate(z - a for a, z in groups))
         for i, (start, _) in enumerate(groups):
-            plain = ""
-            for at, end in groups[i:]:
-                plain += text[at:end]
-                if len(plain) > 19:
+            first = ends[i - 1] if i else 0
+            for j in range(i, min(len(groups), i + _CARD_DIGITS.stop)):
+                last = ends[j]
+                if last - first >= _CARD_DIGITS.stop:
                     break
-                if len(plain) >= 13 and luhn_digit(plain[:-1]) == plain[-1]:
+                # The last digit is not doubled, the one before it is.
+                if last - first in _CARD_DIGITS and (sums[last % 2][last] - sums[last % 2][first]) % 10 == 0:
+                    end = groups[j][1]
                     rank = 0 if _CARD_GROUPS.fullmatch(text, start, end) else 1 if (start, end) == m.span() else 2
-                    yield rank, Entity(start, end, "card", plain)
+                    yield rank, Entity(start, end, "card", digits[first:last])
 
 
 def _apart(found: list[Entity], fixed: list[Entity]) -> list[Entity]:
@@ -182,7 +214,8 @@ def _apart(found: list[Entity], fixed: list[Entity]) -> list[Entity]:
 def detect(text: str | None) -> list[Entity]:
     """Entities of a text, in order and apart from each other; none for a null text.
 
-    E-mail addresses, international and North American phone numbers, card
+    E-mail addresses (up to 64 characters before the sign and 255 after it; a
+    longer run is no address), international and North American phone numbers, card
     numbers (13 to 19 digits) and bank accounts (IBAN) with right check
     digits, IPv4 addresses, US social security numbers, credentials, and names after an honorific or with a known given
     name.  Where two overlap, the one that begins first, then the longer one.
@@ -199,7 +232,7 @@ def detect(text: str | None) -> list[Entity]:
     found, inner = [], []
     digits = any(d in text for d in "0123456789")
     if "@" in text:
-        found += [Entity(m.start(), m.end(), "email", m[0].lower()) for m in _PATTERNS["email"].finditer(text)]
+        found += _emails(text)
     if digits:
         ibans, cards = list(_ibans(text)), list(_cards(text))
         usual = _apart([e for rank, e in cards if rank == 0], ibans)
@@ -376,11 +409,14 @@ def moved_entities(entities: DataFrame, key: bytes) -> DataFrame:
         waiting = drawn.join(won, ["kind", "canonical"], "left_anti").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
 
 
-def surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def surrogates(docs: DataFrame, key: bytes, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with every entity of ``text_col`` replaced by its stand-in.
 
-    Null texts stay null, texts without an entity stay as they are, repeated
-    rows stay equal; with ``count_col`` a column tells how many were replaced.
+    Whoever knows ``key`` can tell which stand-in an entity gets: keep it
+    secret.  Null texts stay null, texts without an entity stay as they are,
+    repeated rows stay equal; an empty table gives an empty one.  Texts of any
+    length are read whole, in time linear in their length; a task holds a
+    batch of them.  With ``count_col`` a column tells how many were replaced.
     """
     found = stored(mentions(docs, text_col), "pii-mentions")
     moved = moved_entities(found.select("kind", "canonical").distinct(), key)

@@ -192,3 +192,94 @@ def test_on_the_test_table(spark):
             assert r["text"][a.start : a.end] not in r["new"]
             pairs.setdefault((a.kind, a.canonical), set()).add((b.kind, b.canonical))
     assert all(len(v) == 1 for v in pairs.values()) and len({next(iter(v)) for v in pairs.values()}) == len(pairs) > 50
+
+
+MILLION = 1_000_000
+LONG_TEXTS = {
+    "one word with an address's sign behind it": "a" * MILLION + "@example.org",
+    "a sign somewhere": "x" * MILLION + " @ " + "y" * MILLION,
+    "a domain of many labels": "a@" + "b." * (MILLION // 2),
+    "signs only": "@" * MILLION,
+    "short addresses without an end": "a@" * (MILLION // 2),
+    "single digits": "1 " * (MILLION // 2),
+    "digits in a row": "4111" * (MILLION // 4) + "x",
+    "groups of a card": "4111-" * (MILLION // 5),
+    "octets": "1." * (MILLION // 2),
+    "capitals": "GB82" * (MILLION // 4),
+    "accounts without an end": "GB82 " * (MILLION // 5),
+    "plus signs": "+44 " * (MILLION // 4),
+    "an honorific far from its name": "Mr." + " " * MILLION + "X",
+    "a name without an end": "Mr. A" + "a" * MILLION + "1",
+    "a credential far from its value": "token" + " " * MILLION + "= x",
+    "many credentials": "token=" * (MILLION // 6),
+}
+
+
+@pytest.mark.parametrize("name", list(LONG_TEXTS))
+def test_long_texts_take_linear_time(name):
+    import time
+
+    text = LONG_TEXTS[name]
+    began = time.process_time()
+    found = P.detect(text)
+    assert time.process_time() - began < 30
+    assert all(a.end <= b.start for a, b in zip(found, found[1:]))
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("x" * 64 + "@example.org", ["x" * 64 + "@example.org"]),
+        ("x" * 65 + "@example.org", []),
+        ("a@" + "b" * 251 + ".org", ["a@" + "b" * 251 + ".org"]),
+        ("a@" + "b" * 252 + ".org", []),
+        ("a@b.com@c.org", ["a@b.com"]),
+        ("a.@b.com .a@b.com, a@b, a@-b.com x@y.z9 é@b.co.uk.", [".a@b.com", "é@b.co.uk"]),
+    ],
+)
+def test_addresses(text, found):
+    assert [text[e.start : e.end] for e in P.detect(text) if e.kind == "email"] == found
+
+
+def plain_emails(text):
+    return [m[0].lower() for m in re.finditer(r"[\w.+-]*[\w+-]@[A-Za-z0-9](?:[\w-]*\.)+[A-Za-z]{2,}", text)]
+
+
+def plain_ips(text):
+    """Four numbers up to 255 between dots, with no word character or further number beside them."""
+    found = []
+    for word in re.split(r"[^\w.]+", text):
+        parts = word.rstrip(".").split(".")
+        if len(parts) == 4 and all(p.isascii() and p.isdigit() and str(int(p)) == p and int(p) < 256 for p in parts):
+            found.append(".".join(parts))
+    return found
+
+
+def plain_cards(text):
+    """Digits and single separators: 13 to 19 digits with the right sum, by the schoolbook rule."""
+    found = []
+    for run in re.findall(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![ -]?\w)", text):
+        digits = [int(c) for c in run if c.isdigit()]
+        total = 0
+        for place, d in enumerate(reversed(digits)):
+            total += sum(divmod(2 * d, 10)) if place % 2 else d
+        if total % 10 == 0:
+            found.append("".join(map(str, digits)))
+    return found
+
+
+def test_plain_detectors_find_nothing_more(spark):
+    """Whatever simple rules of another kind find in the corpus, the operator finds too."""
+    from tests.conftest import SF01
+
+    seen = {"email": 0, "ip": 0, "card": 0}
+    for (text,) in spark.read.parquet(f"{SF01}/documents.parquet").select("text").collect():
+        found = P.detect(text)
+        for kind, plain in (("email", plain_emails), ("ip", plain_ips), ("card", plain_cards)):
+            want = plain(text or "")
+            seen[kind] += len(want)
+            own = [e.canonical for e in found if e.kind == kind]
+            assert set(want) <= set(own), (kind, set(want) - set(own))
+            if kind != "card":  # a card may stand among other groups, which the plain rule leaves out
+                assert sorted(want) == sorted(own)
+    assert all(seen.values()), seen
