@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from collections.abc import Callable
 
 import numpy as np
 
+from rateweave.llm._common import MULTIPLIERS, _powers, mixed
+
+#: Segments beyond this length are hashed one by one.
+LONG = 256
+
 
 def kept_by_worker(name: str, make: Callable[[], object]) -> object:
     """``make()``, once in a worker process: Spark gives the process many tasks."""
@@ -96,3 +102,20 @@ def runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def flat_lists(lists: list[list[int]], kind: type) -> tuple[np.ndarray, np.ndarray]:
     """The lists' numbers in a row, and how many each has."""
     return np.array([v for x in lists for v in x], dtype=kind), np.array([len(x) for x in lists], dtype=np.int64)
+
+
+def run_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of numbers, by differences of running sums."""
+    up, down = _powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * np.uint64(MULTIPLIERS[0]) * up[: len(values)], out=sums[1:])
+    return mixed((sums[ends] - sums[begins]) * down[begins])
+
+
+def segment_hashes(text: str, points: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of segments of a text, whose code points are given."""
+    hashes = run_hashes(points, begins, ends)
+    for k in np.flatnonzero(ends - begins > LONG):
+        raw = text[begins[k] : ends[k]].encode("utf-8", "surrogatepass")
+        hashes[k] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+    return hashes

@@ -3,35 +3,35 @@
 The driver reads the model file, rebuilds it (``sentencepiece_model``) and
 broadcasts the pipeline, about a few MB.  Tasks cut each text in front of its
 runs of spaces, where the model allows that, and encode the segments not seen
-before as one multithreaded batch.  Parity is verified, not assumed: every
-distinct segment (or whole text, if the model can't be cut) is also encoded by
-the sentencepiece library, and where the two differ, its ids are used and the
-row is marked.
+before as one multithreaded batch; the ids are those of the rebuilt pipeline.
+Parity is verified, not assumed: every distinct whole text of a batch is also
+encoded by the sentencepiece library, and a row whose ids differ is marked.
 """
 
 from __future__ import annotations
 
 import os
-import re
+import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.llm._common import free_name
+from rateweave.llm._memo import Index, Lists, flat_lists, kept_by_worker, segment_hashes
 from rateweave.llm.sentencepiece_model import CONTROL, SPACE, build_tokenizer, parse_model, spaces_only_lead, surfaces
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Threads of one task's batch; a cluster sets as many as spark.task.cpus.
 THREADS = 2
-#: Segments that a task remembers, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 64
+#: Segments that a process remembers at most; beyond, it starts anew.
+REMEMBERED = 600_000
 #: Segments that are given to the libraries at once, and characters of text that are turned into one result.
-LEARNT, PART_CHARS = 20_000, 2_000_000
-_SEGMENT = re.compile(" +[^ ]*|[^ ]+")
+LEARNT, PART_CHARS = 20_000, 1_000_000
 
 
 class Codec:
@@ -48,54 +48,59 @@ class Codec:
         self.threads = threads
         self.tokenizer = Tokenizer.from_str(rebuilt)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
-        # A space that ends a text, or stands alone, is the dummy prefix of nothing: the marker's own piece.
-        self.fixed = {"": _packed([self.reference.piece_to_id(SPACE)])} if self.prefix and self.cut else {}
-        self.known: dict[str, bytes] = dict(self.fixed)  # 32-bit ids
-        self.differing: set[str] = set()
-
-    def segments(self, text: str) -> list[str]:
-        """Parts that encode on their own, each as the text that is given to an
-        encoder: without the space that the dummy prefix puts in front again."""
-        if not text:
-            return []
-        if not self.cut:
-            return [text]
-        if SPACE in text:
-            text = text.replace(SPACE, " ")
-        if not self.prefix:
-            return _SEGMENT.findall(text)
-        if "  " in text or text[0] == " " or text[-1] == " ":
-            return [part[1:] for part in _SEGMENT.findall(" " + text)]
-        return text.split(" ")
+        # A space that stands alone is the dummy prefix of nothing: the marker's own piece.
+        self.alone = [self.tokenizer.token_to_id(SPACE)] if self.prefix and self.cut else []
+        self._forget()
+
+    def _forget(self) -> None:
+        self.segments, self.ids = Index(), Lists(np.int32)
 
     def _learn(self, parts: list[str]) -> None:
-        lead = SPACE if self.prefix else ""
-        # Cut segments are short and plain, so they are normalised here.
-        given = [lead + p.replace(" ", SPACE) for p in parts] if self.cut else parts
-        ours = self.tokenizer.encode_batch_fast(given, add_special_tokens=False)
-        theirs = self.reference.encode(parts, num_threads=self.threads)
-        for part, own, want in zip(parts, ours, theirs):
-            if own.ids != want:
-                self.differing.add(part)
-            self.known[part] = _packed(want)
-
-    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bool]]:
-        """32-bit ids of each text (none for a null or empty one), and whether both libraries agree on all its parts."""
-        cut = [self.segments(t or "") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = dict(self.fixed)
-        new = list(dict.fromkeys(p for p in chain.from_iterable(cut) if p not in self.known))
-        for start in range(0, len(new), LEARNT):
-            self._learn(new[start : start + LEARNT])
-        ids, agree = [], []
-        for parts in cut:
-            ids.append(b"".join(map(self.known.__getitem__, parts)))
-            agree.append(not self.differing or self.differing.isdisjoint(parts))
-        for part in new:
-            if len(part) > LONGEST:
-                del self.known[part]
-                self.differing.discard(part)
-        return ids, agree
+        for start in range(0, len(parts), LEARNT):
+            given = [p[1:] if self.prefix else p for p in parts[start : start + LEARNT]]
+            coded = self.tokenizer.encode_batch_fast(given, add_special_tokens=False)
+            self.ids.append(*flat_lists([c.ids if g else self.alone for g, c in zip(given, coded)], np.int32))
+
+    def cuts(self, space: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where segments begin: at the first space of each run, and where a text does."""
+        cut = space.copy()
+        cut[1:] &= ~space[:-1]
+        cut[starts] = True
+        return np.flatnonzero(cut)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """32-bit ids of each text; none for a null or empty one."""
+        if not self.cut:
+            known = list(dict.fromkeys(t for t in texts if t))
+            coded = dict(zip(known, self.tokenizer.encode_batch_fast(known, add_special_tokens=False)))
+            return [_packed(coded[t].ids) if t else b"" for t in texts]
+        if self.segments.size > REMEMBERED:
+            self._forget()
+        at = [k for k, t in enumerate(texts) if t]
+        if not at:
+            return [b""] * len(texts)
+        # The dummy prefix in front, which the tokenizer puts there itself.
+        whole = [" " * self.prefix + texts[k].replace(SPACE, " ") for k in at]
+        joined = "".join(whole)
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        starts = np.cumsum([0, *(len(w) for w in whole[:-1])])
+        begins = self.cuts(points == 32, starts)
+        ends = np.append(begins[1:], len(points))
+        hashes = segment_hashes(joined, points, begins, ends)
+        rows = self.segments.rows(hashes, lambda first: self._learn([joined[begins[k] : ends[k]] for k in first]))
+        ids, sizes = self.ids.gathered(rows)
+        owner = np.searchsorted(starts, begins, side="right") - 1
+        limits = np.cumsum([0, *np.bincount(owner, sizes, minlength=len(at)).astype(np.int64)])
+        out = [b""] * len(texts)
+        for k, a, z in zip(at, limits, limits[1:]):
+            out[k] = ids[a:z].tobytes()
+        return out
+
+    def parity(self, texts: list[str | None], ids: list[bytes]) -> list[bool]:
+        """Whether the sentencepiece library gives each whole text the same ids."""
+        distinct = list(dict.fromkeys(t for t in texts if t))
+        theirs = dict(zip(distinct, map(_packed, self.reference.encode(distinct, num_threads=self.threads))))
+        return [theirs.get(t or "", b"") == own for t, own in zip(texts, ids)]
 
     def decode(self, ids) -> str:
         """The text of ids: their surfaces joined, without the dummy prefix (and
@@ -122,16 +127,11 @@ class Codec:
 
 def prepared(data: bytes) -> tuple:
     """A serialised model as what tasks need: plain values, made once on the driver."""
-    from tokenizers import Tokenizer
-
     model = parse_model(data)
     plain = not model.charsmap and not model.remove_extra_whitespaces
     hidden = {i for i, (_, _, kind) in enumerate(model.pieces) if kind == CONTROL}
     cut = plain and spaces_only_lead(model)
     rebuilt = build_tokenizer(model)
-    if cut:  # tasks cut and normalise the segments themselves
-        whole, rebuilt = rebuilt, Tokenizer(rebuilt.model)
-        rebuilt.decoder = whole.decoder
     return data, rebuilt.to_str(), surfaces(model), hidden, model.unk_id, model.add_dummy_prefix, model.remove_extra_whitespaces, cut
 
 
@@ -164,24 +164,29 @@ def _parts(texts: pa.Array, limit: int = PART_CHARS) -> Iterator[list[str | None
 def encode(
     docs: DataFrame, model_path: str = MODEL_PATH, text_col: str = "text", threads: int = THREADS, decoded: bool = False
 ) -> DataFrame:
-    """``docs`` with ``token_ids``, ``n_tokens``, ``parity`` (both libraries agree) and, if asked for,
-    ``decoded`` (the ids turned back into text) and ``round_trip`` (it equals the text).
+    """``docs`` with ``token_ids``, ``n_tokens``, ``parity`` (the sentencepiece library gives the whole text the
+    same ids) and, if asked for, ``decoded`` (the ids turned back into text) and ``round_trip`` (it equals the text).
 
-    A null text has no ids, and null as ``decoded``; columns of ``docs`` with
+    A null text has no ids, and null as ``decoded``; an empty one has none
+    either.  Repeated rows get the same ids; an empty table gives an empty
+    one.  A text of any length is one row of ids; a task holds about two
+    million characters of texts, or one longer text.  Columns of ``docs`` with
     these names are replaced.
     """
     with open(model_path, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(prepared(f.read()))
+        data = f.read()
+    shared = docs.sparkSession.sparkContext.broadcast(prepared(data))
+    name = f"codec {zlib.crc32(data)} {threads}"
     fields = "token_ids:array<int>,parity:boolean" + ",decoded:string" * decoded
 
     @F.arrow_udf(f"struct<{fields}>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(shared.value, threads)
+        codec = kept_by_worker(name, lambda: Codec(shared.value, threads))
         for texts in batches:
             # Several small results for a batch: a batch of long texts would make a large one.
             for part in _parts(texts):
-                ids, agree = codec.encode(part)
-                out = [_lists(ids), pa.array(agree, pa.bool_())]
+                ids = codec.encode(part)
+                out = [_lists(ids), pa.array(codec.parity(part, ids), pa.bool_())]
                 if decoded:
                     back = [None if t is None else codec.decode(unpacked(i)) for t, i in zip(part, ids)]
                     out.append(pa.array(back, pa.string()))

@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm._common import MULTIPLIERS, _powers, mixed, stored
-from rateweave.llm._memo import Grown, Index, Lists, flat_lists, kept_by_worker, runs
+from rateweave.llm._common import MULTIPLIERS, mixed, stored
+from rateweave.llm._memo import Grown, Index, Lists, flat_lists, kept_by_worker, run_hashes, runs, segment_hashes
 from rateweave.llm.token_archive import parts_of
 from rateweave.llm.word_tokens import byte_alphabet
 from rateweave.session import fresh_path
@@ -39,8 +39,6 @@ from rateweave.session import fresh_path
 REMEMBERED = 1_000_000
 #: Characters of text that are aligned at once; a longer text is cut into slices, which bounds a task's memory.
 PART_CHARS, SLICE_CHARS = 500_000, 1_000_000
-#: Segments beyond this length are hashed one by one.
-LONG = 256
 #: Id pairs whose counts are broadcast at once (17 bytes each).
 MAX_PAIRS = 2_000_000
 #: Documents' id pairs that a task counts at once.
@@ -71,14 +69,6 @@ def slices(text: str) -> Iterator[str]:
     yield whole[at:]
 
 
-def _run_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of runs of numbers, by differences of running sums."""
-    up, down = _powers(len(values) + 1)
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * np.uint64(MULTIPLIERS[0]) * up[: len(values)], out=sums[1:])
-    return mixed((sums[ends] - sums[begins]) * down[begins])
-
-
 class Tokens:
     """Both tokenizers with the bytes of their tokens, and what the process has learnt of segments and windows."""
 
@@ -178,10 +168,7 @@ class Tokens:
         cut[starts] = True
         begins = np.flatnonzero(cut)
         ends = np.append(begins[1:], len(points))
-        hashes = _run_hashes(points, begins, ends)
-        for k in np.flatnonzero(ends - begins > LONG):
-            raw = joined[begins[k] : ends[k]].encode("utf-8", "surrogatepass")
-            hashes[k] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+        hashes = segment_hashes(joined, points, begins, ends)
         rows = self.segments.rows(hashes, lambda first: self._learn_segments([joined[begins[k] : ends[k]] for k in first]))
         owner = np.searchsorted(starts, begins, side="right") - 1
         # A segment that differs makes its text differ: tokens end where segments do.
@@ -219,7 +206,7 @@ class Tokens:
             none = np.zeros(0, dtype=np.int64)
             return [(0, 0, 0, b"", none, none)] * len(parts)
         begins_a, ends_a, begins_b, ends_b = self._windows(a, b)
-        hashes = mixed(_run_hashes(a, begins_a, ends_a) * np.uint64(MULTIPLIERS[1]) ^ _run_hashes(b, begins_b, ends_b))
+        hashes = mixed(run_hashes(a, begins_a, ends_a) * np.uint64(MULTIPLIERS[1]) ^ run_hashes(b, begins_b, ends_b))
         size_a, size_b = ends_a - begins_a, ends_b - begins_b
 
         def learn(first):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -77,13 +78,13 @@ def test_parity(name):
     data = models()[name]
     codec, theirs = C.Codec(C.prepared(data)), sentencepiece.SentencePieceProcessor(model_proto=data)
     texts = ODD + [" ".join(["of the end", "retition", "x" * 70])]
-    ids, agree = codec.encode(texts)
-    assert [list(C.unpacked(i)) for i in ids] == theirs.encode(texts)
-    # The rebuilt pipeline by itself, not its replacement, gives these ids.
+    ids = codec.encode(texts)
+    agree = codec.parity(texts, ids)
+    assert agree == [list(C.unpacked(i)) == t for i, t in zip(ids, theirs.encode(texts))]
     literal = [t for t, a in zip(texts, agree) if not a and "<0x41>" not in t]  # names of byte pieces may match in unigram
     assert (not literal if name != "bpe" else all(agree)), [t for t, a in zip(texts, agree) if not a]
     assert [codec.decode(C.unpacked(i)) for i in ids] == theirs.decode([list(C.unpacked(i)) for i in ids])
-    again, _ = codec.encode(texts[::-1] + [None])
+    again = codec.encode(texts[::-1] + [None])
     assert again[-1] == b"" and again[:-1] == ids[::-1]
 
 
@@ -119,18 +120,33 @@ def test_memory_of_segments_is_bounded(monkeypatch):
     monkeypatch.setattr(C, "REMEMBERED", 10)
     codec, theirs = C.Codec(C.prepared(public_model())), sentencepiece.SentencePieceProcessor(model_proto=public_model())
     for part in (["one two three four five six seven"], ["alpha beta one"] * 2, [f"w{i}" for i in range(30)], ["one w3 new"]):
-        ids, _ = codec.encode(part)
+        ids = codec.encode(part)
         assert [list(C.unpacked(i)) for i in ids] == theirs.encode(part)
 
 
-def test_a_segment_that_differs_is_replaced_and_marked():
-    from tokenizers import normalizers
+def test_a_broken_pipeline_shows_in_ids_and_parity():
+    """The ids are the rebuilt pipeline's own, and a row in which they differ from the library's is marked."""
+    from tokenizers import Tokenizer, normalizers
 
     codec = C.Codec(C.prepared(public_model()))
-    codec.tokenizer.normalizer = normalizers.Replace(M.SPACE, "")  # now it forgets the marker
-    ids, agree = codec.encode(["hello there", ""])
-    theirs = sentencepiece.SentencePieceProcessor(model_proto=public_model())
-    assert list(C.unpacked(ids[0])) == theirs.encode("hello there") and agree == [False, True]
+    whole = codec.tokenizer.normalizer
+    codec.tokenizer.normalizer = normalizers.Sequence([whole, normalizers.Replace(M.SPACE, "")])  # it forgets the marker
+    texts = ["hello there", "", None, "hello there", "hello"]
+    ids = codec.encode(texts)
+    broken = Tokenizer.from_str(codec.tokenizer.to_str())
+    assert [list(C.unpacked(i)) for i in ids[::3]] == [
+        [i for part in ("hello", "there") for i in broken.encode(part, add_special_tokens=False).ids]
+    ] * 2
+    assert codec.parity(texts, ids) == [False, True, True, False, False]
+
+
+def test_an_error_of_the_cutting_shows_in_parity(monkeypatch):
+    """Parity is that of whole texts: segments that are right one by one don't hide a wrong cut."""
+    codec = C.Codec(C.prepared(public_model()))
+    texts = ["retitioning the end", "plain"]
+    right = codec.cuts
+    monkeypatch.setattr(codec, "cuts", lambda space, starts: np.sort(np.append(right(space, starts), 4)))
+    assert codec.parity(texts, codec.encode(texts)) == [False, True]
 
 
 def test_encode_and_decode_tables(docs_of):
@@ -158,4 +174,4 @@ def test_segments_are_learnt_in_chunks(monkeypatch):
     monkeypatch.setattr(C, "LEARNT", 3)
     codec, theirs = C.Codec(C.prepared(public_model())), sentencepiece.SentencePieceProcessor(model_proto=public_model())
     texts = [" ".join(f"w{i}" for i in range(20)), "w3 again"]
-    assert [list(C.unpacked(i)) for i in codec.encode(texts)[0]] == theirs.encode(texts)
+    assert [list(C.unpacked(i)) for i in codec.encode(texts)] == theirs.encode(texts)
