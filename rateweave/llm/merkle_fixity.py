@@ -20,6 +20,10 @@ RANGE_BYTES = 1 << 16
 FAN_OUT = 16
 #: Records of a file that ``archived`` makes, about.
 RECORDS_PER_FILE = 1000
+#: Distinct records that are hashed together at most; a leaf with more is hashed in parts.
+LEAF_RECORDS = 4096
+#: Copies of a record that are placed by one row.
+COPIES = 10_000
 CORRUPT, MISSING, EXTRA = "corrupt", "missing", "extra"
 
 
@@ -42,11 +46,22 @@ def tree(leaf_rows: DataFrame, levels: int, range_bytes: int = RANGE_BYTES, fan_
     """The ``(file, node, hash)`` table of each level, leaves first, each written once.
 
     A leaf hashes the offsets, lengths, hashes and copies of its records in
-    order; no group is larger than a range's records or the fan-out.
+    order.  A range in which many records begin (all those without an offset,
+    or empty ones) is hashed in parts by record hash, as many as make
+    ``LEAF_RECORDS`` in each; so no group is larger than that, or the fan-out.
     """
     node = F.floor(F.coalesce(F.col("offset"), F.lit(0)) / range_bytes).alias("node")
-    lowest = leaf_rows.select("*", node).groupBy("file", "node")
-    found = [stored(lowest.agg(_node(["offset", "length", "hash"], ["offset", "length", "hash", "copies"])), "merkle-0")]
+    placed = leaf_rows.select("*", node)
+    sizes = placed.groupBy("file", "node").agg(F.count("*").alias("n")).where(F.col("n") > LEAF_RECORDS)
+    large = stored(sizes.select("file", "node", F.ceil(F.col("n") * 2 / LEAF_RECORDS).alias("parts")), "merkle-large")
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("offset", "hash"), F.col("parts")))
+    # In order of offset, length and hash, which tell the records of a part apart.
+    lowest = placed.join(large, ["file", "node"], "left").groupBy("file", "node", part.alias("part"))
+    parts = lowest.agg(_node(["offset", "length", "hash"], ["offset", "length", "hash", "copies"]), F.max("parts").alias("parts"))
+    parts = stored(parts, "merkle-parts")
+    whole = parts.where(F.col("parts").isNull()).select("file", "node", "hash")
+    united = parts.where(F.col("parts").isNotNull()).groupBy("file", "node").agg(_node(["part"], ["part", "hash"]))
+    found = [stored(whole.unionByName(united), "merkle-0")]
     for level in range(1, levels):
         above = found[-1].select("file", F.floor(F.col("node") / fan_out).alias("node"), F.col("node").alias("child"), "hash")
         found.append(stored(above.groupBy("file", "node").agg(_node(["child"], ["child", "hash"])), f"merkle-{level}"))
@@ -65,7 +80,8 @@ def audit(ours: DataFrame, theirs: DataFrame, range_bytes: int = RANGE_BYTES, fa
     ``(file, offset, status, length, hash, other_length, other_hash)``;
     ``status`` is ``corrupt`` (another content at the offset), ``missing`` or
     ``extra``.  Equal replicas, also empty ones, give no rows; a null file is a
-    file of its own, a null offset counts as 0.
+    file of its own, a null offset counts as 0.  Records of any length are
+    hashed once, before this.
     """
     named = F.coalesce(F.col("file"), F.lit("")).alias("file")
     placed = F.coalesce(F.col("offset"), F.lit(0).cast("bigint")).alias("offset")
@@ -139,8 +155,11 @@ def archived(pages: DataFrame, damaged: Column | None = None, lost: Column | Non
     before = Window.partitionBy("file").orderBy("record_id", "hash", "other").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.col("length") * F.col("copies")).over(before), F.lit(0))
     rows = rows.withColumn("file", name).withColumn("start", start)
-    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy")
-    placed = rows.select("*", copy).withColumn("offset", F.col("start") + F.col("copy") * F.col("length"))
+    # A record's copies in rows of their own, ``COPIES`` at a time.
+    some = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES))).alias("some")
+    end = F.least(F.col("copies"), (F.col("some") + 1) * COPIES) - 1
+    copy = F.explode(F.sequence(F.col("some") * COPIES, end)).alias("copy")
+    placed = rows.select("*", some).select("*", copy).withColumn("offset", F.col("start") + F.col("copy") * F.col("length"))
     placed = stored(placed.select("file", "offset", "record_id", "length", "hash", "other"), "warc-index")
     one = F.lit(1).cast("bigint").alias("copies")
     ours = placed.select("file", "offset", "length", "hash", one, "record_id")

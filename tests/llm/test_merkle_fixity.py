@@ -102,3 +102,34 @@ def test_large_page_ids_have_files_of_their_own(spark):
     assert {r["offset"] for r in rows} == {0}
     (found,) = A.audit(ours.drop("record_id"), theirs).collect()
     assert (found["file"], found["offset"], found["status"]) == ("pages-1000001.warc", 0, "corrupt")
+
+
+def test_many_records_at_one_place(spark, monkeypatch):
+    """Distinct records without an offset are hashed in parts; the one that differs is found."""
+    monkeypatch.setattr(A, "LEAF_RECORDS", 64)
+    rows = spark.range(3000).select(
+        F.lit("f").alias("file"), F.when(F.col("id") > 2900, F.col("id") * 1000).alias("offset"), F.concat(F.lit("record "), F.col("id").cast("string")).alias("record")
+    )
+    bad = rows.withColumn("record", F.when(F.col("record") == "record 77", "other").otherwise(F.col("record")))
+    ours, theirs = A.leaves(rows), A.leaves(bad)
+    found = A.audit(ours, theirs, range_bytes=10_000).collect()
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert {(r["hash"], r["other_hash"]) for r in found} == {(digest("record 77"), digest("other"))}
+    assert A.audit(ours, ours, range_bytes=10_000).count() == 0
+
+
+def test_a_page_repeated_a_million_times(spark):
+    """Its copies lie end to end, and no row holds more than some of them."""
+    pages = spark.range(1_000_000).select(F.lit(5).cast("bigint").alias("page_id"), F.lit("u").alias("url"), F.lit("h").alias("html"))
+    ours, theirs = A.archived(pages)
+    size = ours.first()["length"]
+    got = ours.agg(F.count("*"), F.countDistinct("offset"), F.min("offset"), F.max("offset"), F.countDistinct("file")).first()
+    assert tuple(got) == (1_000_000, 1_000_000, 0, 999_999 * size, 1)
+    assert theirs.count() == 1_000_000
+
+
+def test_a_very_long_record(spark):
+    rows = spark.createDataFrame([("f", 0, b"x" * 20_000_000), ("f", 20_000_000, b"y")], SCHEMA)
+    bad = spark.createDataFrame([("f", 0, b"x" * 19_999_999 + b"z"), ("f", 20_000_000, b"y")], SCHEMA)
+    (found,) = A.audit(A.leaves(rows), A.leaves(bad)).collect()
+    assert (found["offset"], found["length"], found["status"]) == (0, 20_000_000, "corrupt")
