@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -88,57 +89,81 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _edges(rows: DataFrame, ranges: int) -> list[tuple[bool, int, str]]:
+    """The last keys ``(no id, id, hash)`` of all ranges but the last: about equal ones by id, and by hash
+    inside an id that more than a ``ranges``-th of the rows share (there are fewer than ``ranges`` of these)."""
+    after = "~"  # behind every hash
+    edges = [(False, (1 << 63) - 1, after)]  # rows without an id have ranges of their own
+    marks = [(i + 1) / ranges for i in range(ranges - 1)]
+    if marks:
+        cuts = rows.agg(F.percentile_approx("id", marks, 100 * ranges).alias("c")).first()["c"] or []
+        edges += [(False, c, after) for c in set(cuts)]
+    total = rows.count()
+    hot = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * ranges > total).collect()
+    for own_id, n in hot:
+        parts = -(-n * ranges // total)
+        bounds = [f"{(i + 1) * (1 << 32) // parts:08x}" for i in range(parts - 1)]
+        edges += [(own_id is None, own_id or 0, bound) for bound in bounds]
+        if own_id is not None and own_id > -(1 << 63):
+            edges.append((False, own_id - 1, after))
+    return sorted(set(edges))
+
+
 def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row its text's fingerprint, that of its edited text, and their likeness.
 
     "Next" is the next row by ascending id (nulls last; equal ids by a hash of
     the text, equal rows in turn), and the first row for the last.  The order
-    is made by ranges of ids: each row goes to its range, the first row of a
-    range also to the range before it (that of the first range to the last),
-    and every range is then read once, in order, two rows at a time.  A null
-    text counts as empty; an empty table gives no rows.
+    is made by ranges: each row goes to its range, the first row of a range
+    also to the range before it (that of the first range to the last), and
+    every range is then read once, in order, two rows at a time.  An id that
+    more rows share than a range should hold, or null, is cut into ranges by
+    the hash; only rows that are equal in id and text stay together.  A null
+    text counts as empty; an empty table gives no rows; ids must be whole
+    numbers.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
+    if id_type not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col} is {id_type}; the next document needs whole numbers as ids")
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    marks = [(i + 1) / ranges for i in range(ranges - 1)]
-    cuts: list[int] = []
-    if marks:
-        cuts = rows.agg(F.percentile_approx("id", marks, 100 * ranges).alias("c")).first()["c"] or []
-    edges = np.unique(np.array(cuts, dtype=np.int64))
-    last = len(edges) + 1  # the range of null ids
+    edges = _edges(rows, ranges)
+    last = len(edges)
 
-    def part_of(own_id: int | None) -> int:
-        return last if own_id is None else int(np.searchsorted(edges, own_id, side="left"))
+    def part_of(own_id: int | None, tie: str) -> int:
+        return bisect_left(edges, (own_id is None, own_id or 0, tie))
 
-    def first_ids(batches):
-        least: dict[int, int | None] = {}
+    def first_keys(batches):
+        least: dict[int, tuple] = {}
         for batch in batches:
-            for own_id in batch.column(0).to_pylist():
-                at = part_of(own_id)
-                least[at] = own_id if own_id is None else min(own_id, least.get(at, own_id))
-        yield pa.RecordBatch.from_pydict({"part": pa.array(list(least), pa.int32()), "id": pa.array(list(least.values()), pa.int64())})
-
-    firsts = rows.select("id").mapInArrow(first_ids, "part int, id bigint").groupBy("part").agg(F.min("id").alias("id"))
-    # One row for each range: its first id, and the range before it.
-    starts = sorted((r["part"], r["id"]) for r in firsts.collect())
-    before = {own_id: starts[i - 1][0] for i, (_, own_id) in enumerate(starts)}
+            for own_id, tie in zip(batch.column("id").to_pylist(), batch.column("tie").to_pylist()):
+                at, key = part_of(own_id, tie), (own_id is None, own_id or 0, tie)
+                least[at] = min(key, least.get(at, key))
+        keys = [(at, none, None if none else own_id, tie) for at, (none, own_id, tie) in least.items()]
+        columns = list(zip(*keys)) or [()] * 4
+        types = [pa.int32(), pa.bool_(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["part", "none", "id", "tie"])
+
+    keys = rows.select("id", F.md5(F.col("text").cast("binary")).alias("tie"))
+    firsts = keys.mapInArrow(first_keys, "part int, none boolean, id bigint, tie string")
+    firsts = firsts.groupBy("part").agg(F.min(F.struct("none", "id", "tie")).alias("first"))
+    # One row for each range: its first key, and the range before it.
+    starts = sorted(((r["part"], r["first"]["id"], r["first"]["tie"]) for r in firsts.collect()), key=lambda s: s[0])
+    before = {(own_id, tie): starts[i - 1][0] for i, (_, own_id, tie) in enumerate(starts)}
 
     def sketched(batches):
         guests: dict[int, tuple] = {}
         for batch in batches:
             out = {k: [] for k in passed.names}
             for own_id, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                part = part_of(own_id)
                 raw = text.encode("utf-8", "surrogatepass")
-                low = sketch(text)
-                row = (own_id, hashlib.md5(raw).hexdigest(), len(text), zlib.compress(raw, 1), None if low is None else low.tobytes())
-                for k, v in zip(out, (part, 0, *row)):
+                tie, low = hashlib.md5(raw).hexdigest(), sketch(text)
+                row = (own_id, tie, len(text), zlib.compress(raw, 1), None if low is None else low.tobytes())
+                for k, v in zip(out, (part_of(own_id, tie), 0, *row)):
                     out[k].append(v)
-                if own_id in before:  # of rows that share a first id, only the first by hash is a guest
-                    at = before[own_id]
-                    guests[at] = min(guests.get(at, row), row, key=lambda r: r[1])
+                if (own_id, tie) in before:  # equal rows that begin a range: any of them is the guest
+                    guests[before[own_id, tie]] = row
             yield pa.RecordBatch.from_pydict(out, schema=passed)
         rows = [(at, 1, *row) for at, row in guests.items()]
         yield pa.RecordBatch.from_pydict({k: list(v) for k, v in zip(passed.names, zip(*rows))} if rows else {k: [] for k in passed.names}, schema=passed)

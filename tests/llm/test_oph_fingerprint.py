@@ -70,3 +70,31 @@ def test_equal_and_tiny_texts():
     assert len(O.pack(O.sketch("one"))) == O.BINS * O.BITS // 4
     assert O.likeness(O.sketch("one"), O.sketch("one")) == 1 and O.likeness(O.sketch("one"), O.sketch("two")) < 0.1
     assert O.sketch(" ") is None and O.pack(None) == "" and O.likeness(None, None) == 1 and O.likeness(None, O.sketch("a")) == 0
+
+
+@pytest.mark.parametrize("own", [5, None])
+def test_a_third_of_the_rows_under_one_id(spark, docs_of, own):
+    """They are cut into ranges by the hash of their texts; the results stay those of the whole order."""
+    from rateweave.llm.oph_fingerprint import _edges
+
+    rng = random.Random(8)
+    rows = [(own if n % 3 == 0 else n, f"text {n} " + words(rng, 12)) for n in range(600)]
+    docs = docs_of(rows)
+    from pyspark.sql import functions as F
+
+    edges = _edges(docs.select(F.col("doc_id").alias("id"), "text"), 8)
+    keys = sorted((i is None, i or 0, hashlib.md5(t.encode()).hexdigest()) for i, t in rows)
+    held = np.bincount([O.bisect_left(edges, k) for k in keys])
+    assert held.max() < 150 and held.sum() == 600
+    got = O.fingerprint_pairs(docs).collect()
+    names = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint")
+    assert sorted((tuple(r[c] for c in names) for r in got), key=repr) == sorted(brute(rows), key=repr)
+
+
+def test_ids_are_whole_numbers(spark):
+    rows = [(2, "two"), (1, "one")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = O.fingerprint_pairs(docs)
+    assert got.dtypes[0] == ("doc_id", "int") and {r["doc_id"] for r in got.collect()} == {1, 2}
+    with pytest.raises(TypeError, match="whole numbers"):
+        O.fingerprint_pairs(spark.createDataFrame([("a1", "x")], "doc_id string, text string"))
