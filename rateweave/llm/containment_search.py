@@ -5,10 +5,13 @@ similarity, which a long document makes vanish, so both sides are partitioned
 by size: items by their number of shingles into classes up to 2, 4, 8, ...,
 and for each class a document is read as windows of one and a half times the
 class's bound, moved by half of it.  Every run of shingles as long as an item
-lies inside a window, and the similarity of item and window has a fixed lower
-bound (a quarter, for the containment sought), so some of ``FUNCTIONS`` minima
-agree with all but a millionth of certainty.  Candidates are verified by exact
-containment of their shingles over the whole document.
+lies inside a window.  An item that is held in one piece has a similarity of
+at least a quarter with that window, so some of ``FUNCTIONS`` minima agree
+with all but a millionth of certainty.  One whose shingles lie scattered is
+less alike to each window: with its halves far apart about 0.11 to each, of
+which all minima miss one in three hundred, and two windows may find it.
+Candidates are verified by exact containment of their shingles over the whole
+document.
 
 The items are the query set: they are searched in blocks of bounded size, each
 broadcast, against all documents, which are neither shuffled nor paired with
@@ -26,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rateweave.llm._common import WORDS, mixed, shingle_hashes, token_hashes
 
@@ -174,9 +178,12 @@ def contained_items(
     """``(id_col, item_col, shared, item_shingles, containment)`` for every document row and item
     of whose distinct shingles the whole document holds at least 0.8.
 
-    Null texts hold nothing; null ids are reported as null; a repeated
-    document row is reported each time, an item row repeated with the same id
-    and text once; empty tables give no rows.
+    Null texts hold nothing; null ids, of any type, are reported as null; a
+    repeated document row is reported each time, an item row repeated with the
+    same id and text once; empty tables give no rows.  Texts of any length are
+    read whole, a task holding one at a time.  Each block of items is one
+    broadcast and one pass over the documents; a benchmark of
+    ``block_chars`` is one block.
     """
     spark = docs.sparkSession
     schema = (
@@ -185,6 +192,7 @@ def contained_items(
         "shared bigint, item_shingles bigint, containment double"
     )
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    item_type = to_arrow_type(items.schema[item_col].dataType)
     parts = []
     for block in blocks(items, item_col, item_text_col, block_chars):
         shared_block = spark.sparkContext.broadcast(tuple(vars(block).values()))
@@ -206,7 +214,6 @@ def contained_items(
                         names=[id_col, item_col, "shared", "item_shingles", "containment"],
                     )
 
-        item_type = pa.string() if items.schema[item_col].dataType.typeName() == "string" else pa.int64()
         parts.append(rows.mapInArrow(run, schema))
     if not parts:
         return spark.createDataFrame([], schema)

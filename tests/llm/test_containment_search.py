@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rateweave.llm import containment_search as S
 
@@ -86,3 +87,37 @@ def test_batches_of_one_text_and_of_many(monkeypatch):
     monkeypatch.setattr(S, "BATCH_SHINGLES", 1)
     single = sorted((p[0][0], *r[1:]) for p in S._batched(texts) for r in S.search(block, [p[0][1]]))
     assert single == whole
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "bigint", "decimal(9,2)"])
+def test_ids_of_any_type(spark, kind):
+    items = spark.createDataFrame([(7, "a b c d e f"), (8, "p q r s t u")], "item_id int, text string").withColumn("item_id", F.col("item_id").cast(kind))
+    docs = spark.createDataFrame([(1, "x a b c d e f y"), (2, "z")], "doc_id int, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    (row,) = S.contained_items(docs, items).collect()
+    assert (int(float(row["doc_id"])), int(float(row["item_id"]))) == (1, 7)
+    assert S.contained_items(docs, items).dtypes[:2] == [("doc_id", kind), ("item_id", kind)]
+
+
+def test_a_very_long_text(spark):
+    """An item in the middle of a text of a million words, and one scattered over it."""
+    words = [f"w{i % 99_991}" for i in range(1_000_000)]
+    whole = "here stands the item that nobody else has in such an order of its words".split()
+    halves = [f"q{i}" for i in range(60)]
+    words[500_000:500_000] = whole
+    words[100:100], words[900_000:900_000] = halves[:32], halves[28:]
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(whole)), (2, " ".join(halves)), (3, "not " + " ".join(whole[::-1]))], "item_id long, text string")
+    assert sorted(r["item_id"] for r in S.contained_items(docs, items).collect()) == [1, 2]
+
+
+def test_recall_of_scattered_items():
+    """Items in two pieces far apart: the share that the minima find is stated in the module."""
+    rng = random.Random(11)
+    items = [(n, " ".join(f"i{n}x{i}" for i in range(rng.choice([20, 45, 90])))) for n in range(300)]
+    texts = []
+    for _, text in items:
+        words = text.split()
+        half = len(words) // 2
+        texts.append(" ".join(words[: half + 4] + [f"f{rng.randrange(10**6)}" for _ in range(400)] + words[half:]))
+    found = {(d, n) for d, n, *_ in S.search(S.build_block(items), texts)}
+    assert len(found & {(n, n) for n in range(300)}) >= 0.98 * 300
