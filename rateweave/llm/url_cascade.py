@@ -7,13 +7,16 @@ mistaken.  Every key of the universe is then answered exactly, from a few bits
 a listed key that every task holds, and judging pages needs no join.
 
 A key is a host name or any of its parent domains, so listing a domain covers
-its subdomains.  Keys travel as 128-bit hashes.
+its subdomains.  Keys travel as 128-bit hashes, made label by label from the
+right, so a host gives all its keys in time linear in its length.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,8 +28,10 @@ from rateweave.llm._common import free_name, mixed, stored
 
 #: False-positive rate of the first level and of the later ones.
 FIRST_RATE, LATER_RATE = 1 / 64, 1 / 16
-#: Bytes of filters that are broadcast at once; longer lists are cut by key hash into as many cascades as that makes.
+#: Bytes of a cascade's first level, about four fifths of it; longer lists are cut by key hash into as many cascades
+#: as that makes, of which the driver and every task hold one at a time.
 MAX_BYTES = 32 << 20
+_KEY_BYTES = 16
 
 # The rules of the query, as (verdict, host, path).
 RULES = [
@@ -62,16 +67,25 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]] = RULE
     return name, verdict
 
 
-def keys_of(host: Column) -> Column:
-    """The host and its parent domains."""
-    labels = F.split(host, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
+def key_hashes(name: str) -> bytes:
+    """The 128-bit hashes of a name's keys, packed: its last label, its last two, ..., the name."""
+    out, own = [], b""
+    for label in reversed(name.split(".")):
+        own = hashlib.blake2b(own + label.encode("utf-8", "surrogatepass"), digest_size=_KEY_BYTES).digest()
+        out.append(own)
+    return b"".join(out)
 
 
-def _hashes(key: Column) -> list[Column]:
-    return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2")]
+def hashed_keys(names: DataFrame, parents: bool) -> DataFrame:
+    """``(h1, h2)`` of the keys of ``names(key)``: of each name and, with ``parents``, its parent domains; null names have none."""
+
+    def run(batches):
+        for batch in batches:
+            packed = [key_hashes(k) for k in batch.column(0).to_pylist() if k is not None]
+            halves = np.frombuffer(b"".join(p if parents else p[-_KEY_BYTES:] for p in packed), dtype="<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1])], ["h1", "h2"])
+
+    return names.select("key").mapInArrow(run, "h1 bigint, h2 bigint")
 
 
 def _places(h1: np.ndarray, h2: np.ndarray, level: int, size: int, probes: int) -> np.ndarray:
@@ -126,51 +140,51 @@ def _passing(keys: DataFrame, levels: list[tuple[int, int, np.ndarray]]) -> Data
     return keys.mapInArrow(run, "h1 bigint, h2 bigint")
 
 
-def build(universe: DataFrame, listed: DataFrame, max_bytes: int = MAX_BYTES) -> list[list[tuple[int, int, np.ndarray]]]:
-    """Cascades over ``universe(key)`` for the keys of it that ``listed(key)`` holds.
+def build(universe: DataFrame, listed: DataFrame, max_bytes: int = MAX_BYTES) -> tuple[int, Iterator[list[tuple[int, int, np.ndarray]]]]:
+    """The number of cascades over the keys ``universe(h1, h2)``, of which ``listed(h1, h2)`` are listed, and the cascades one by one.
 
     One cascade for each part of the key hashes (part = h1 modulo their
-    number), each of at most about ``max_bytes`` in its first level.  Null and
-    repeated keys count not and once.  A cascade without listed keys is empty.
+    number), each of at most about ``max_bytes`` in its first level.  Repeated
+    keys count once.  A cascade without listed keys is empty.
     """
-    listed = listed.where(F.col("key").isNotNull()).distinct().withColumn("listed", F.lit(True))
-    marked = universe.where(F.col("key").isNotNull()).distinct().join(listed, "key", "left")
-    table = stored(marked.select(*_hashes(F.col("key")), F.coalesce("listed", F.lit(False)).alias("listed")), "url-universe")
+    listed = listed.distinct().withColumn("listed", F.lit(True))
+    marked = universe.distinct().join(listed, ["h1", "h2"], "left")
+    table = stored(marked.select("h1", "h2", F.coalesce("listed", F.lit(False)).alias("listed")), "url-universe")
     total = table.where("listed").count()
     parts = max(1, math.ceil(total * -math.log(FIRST_RATE) / math.log(2) ** 2 / 8 / max_bytes))
-    cascades = []
-    for part in range(parts):
-        own = table.where(F.pmod("h1", F.lit(parts)) == part)
-        # In turn: the keys that the next level encodes, and those that it may take for them.
-        inside, outside = own.where("listed").select("h1", "h2"), own.where(~F.col("listed")).select("h1", "h2")
-        levels: list[tuple[int, int, np.ndarray]] = []
-        while count := inside.count():
-            levels.append(_bloom(inside, count, LATER_RATE if levels else FIRST_RATE, len(levels)))
-            inside, outside = stored(_passing(outside, levels), "url-mistaken"), inside
-        cascades.append(levels)
-    return cascades
-
-
-def is_listed(df: DataFrame, cascades: list[list[tuple[int, int, np.ndarray]]], keys: Column) -> Column:
-    """True where any of an array of keys, all of the universe, is listed."""
-    shared = df.sparkSession.sparkContext.broadcast(cascades)
+
+    def cascades():
+        for part in range(parts):
+            own = table.where(F.pmod("h1", F.lit(parts)) == part)
+            # In turn: the keys that the next level encodes, and those that it may take for them.
+            inside, outside = own.where("listed").select("h1", "h2"), own.where(~F.col("listed")).select("h1", "h2")
+            levels: list[tuple[int, int, np.ndarray]] = []
+            while count := inside.count():
+                levels.append(_bloom(inside, count, LATER_RATE if levels else FIRST_RATE, len(levels)))
+                inside, outside = stored(_passing(outside, levels), "url-mistaken"), inside
+            yield levels
+
+    return parts, cascades()
+
+
+def is_listed(shared, part: int, parts: int, name: Column, parents: bool = True) -> Column:
+    """True where a name or, with ``parents``, a parent domain, all of the universe, is listed in cascade ``part`` of ``parts``;
+    ``shared`` is that cascade, broadcast."""
 
     @F.pandas_udf("boolean")
-    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for first, second in batches:
-            sizes = np.array([len(x) for x in first], dtype=np.int64)
-            h1 = np.concatenate([np.zeros(0, dtype=np.int64), *first]).astype(np.int64)
-            h2 = np.concatenate([np.zeros(0, dtype=np.int64), *second]).astype(np.int64)
-            inside = np.zeros(len(h1), dtype=bool)
-            part = h1 % len(shared.value)
-            for p, levels in enumerate(shared.value):
-                own = part == p
-                # Failing an odd level means unlisted, an even one listed; the last one passed was right.
-                inside[own] = _holds(levels, h1[own], h2[own]) % 2 == 1
-            rows = np.repeat(np.arange(len(first)), sizes)
-            yield pd.Series(np.bincount(rows[inside], minlength=len(first)) > 0)
-
-    return judge(F.transform(keys, lambda k: F.xxhash64(k)), F.transform(keys, lambda k: F.xxhash64(F.lit("second"), k)))
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for names in batches:
+            packed = [key_hashes(n) if parents else key_hashes(n)[-_KEY_BYTES:] for n in names]
+            sizes = np.array([len(p) // _KEY_BYTES for p in packed], dtype=np.int64)
+            halves = np.frombuffer(b"".join(packed), dtype="<i8").reshape(-1, 2)
+            h1, h2 = np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
+            own, inside = h1 % parts == part, np.zeros(len(h1), dtype=bool)
+            # Failing an odd level means unlisted, an even one listed; the last one passed was right.
+            inside[own] = _holds(shared.value, h1[own], h2[own]) % 2 == 1
+            rows = np.repeat(np.arange(len(packed)), sizes)
+            yield pd.Series(np.bincount(rows[inside], minlength=len(packed)) > 0)
+
+    return judge(name)
 
 
 def judged(
@@ -183,17 +197,35 @@ def judged(
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``: the longest
     fitting rule's, else ``block`` if the host or a parent domain is listed,
     else ``allow``.  A null url, or one without ``://``, has an empty host and
-    path; columns with these names are replaced.
+    path; columns with these names are replaced; repeated rows are judged each
+    time, an empty table gives an empty one.  Urls and hosts of any length are
+    judged whole, in time linear in their length.
+
+    A blocklist of up to ``max_bytes`` is one cascade, by which pages are
+    judged where they lie.  For a longer one the distinct hosts are judged by
+    one cascade after the other, each let go before the next, and the blocked
+    hosts are joined to the pages.
     """
+    spark = pages.sparkSession
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
-    hosts = pages.select(host.alias("host")).distinct()
-    cascades = build(hosts.select(F.explode(keys_of(F.col("host"))).alias("key")), listed, max_bytes)
-    own_host, own_path = free_name(pages, "own_host"), free_name(pages, "own_path")
+    hosts = stored(pages.select(host.alias("key")).distinct(), "url-hosts")
+    parts, cascades = build(hashed_keys(hosts, True), hashed_keys(listed, False), max_bytes)
+    own_host, own_path, blocked = (free_name(pages, c) for c in ("own_host", "own_path", "own_blocked"))
     rows = pages.withColumn(own_host, host).withColumn(own_path, path)
+    if parts == 1:
+        rows = rows.withColumn(blocked, is_listed(spark.sparkContext.broadcast(next(cascades)), 0, 1, F.col(own_host)))
+    else:
+        found = []
+        for part, levels in enumerate(cascades):
+            shared = spark.sparkContext.broadcast(levels)
+            found.append(stored(hosts.where(is_listed(shared, part, parts, F.col("key"))), "url-blocked"))
+            shared.unpersist()
+        every = reduce(DataFrame.unionByName, found).distinct().select(F.col("key").alias(own_host), F.lit(True).alias(blocked))
+        rows = rows.join(every, own_host, "left")
     rule, verdict = rule_of(F.col(own_host), F.col(own_path), rules)
-    by_list = F.when(is_listed(pages, cascades, keys_of(F.col(own_host))), "block").otherwise("allow")
+    by_list = F.when(F.col(blocked), "block").otherwise("allow")
     out = {"host": F.col(own_host), "path": F.col(own_path), "rule": rule, "verdict": F.coalesce(verdict, by_list)}
-    return rows.withColumns(out).drop(own_host, own_path)
+    return rows.select(*[c for c in pages.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
 def default_list(spark) -> DataFrame:

@@ -17,10 +17,13 @@ def test_cascade_is_exact(spark, listed_share, max_bytes):
     listed = {k for k in keys if rng.random() < listed_share}
     universe = spark.createDataFrame([(k,) for k in keys + keys[:50]] + [(None,)], "key string")
     blocklist = spark.createDataFrame([(k,) for k in listed] + [("elsewhere.example",), (None,)], "key string")
-    cascades = U.build(universe, blocklist, max_bytes)
-    assert (len(cascades) > 1) == (max_bytes == 64 and listed_share > 0)
-    got = universe.where("key is not null").select("key", U.is_listed(universe, cascades, F.array("key")).alias("l")).collect()
-    assert {r["key"] for r in got if r["l"]} == listed and {r["key"] for r in got if not r["l"]} == set(keys) - listed
+    parts, cascades = U.build(U.hashed_keys(universe, False), U.hashed_keys(blocklist, False), max_bytes)
+    assert (parts > 1) == (max_bytes == 64 and listed_share > 0)
+    cascades, found, names = list(cascades), [], universe.where("key is not null").distinct()
+    for n, levels in enumerate(cascades):
+        shared = spark.sparkContext.broadcast(levels)
+        found += [r["key"] for r in names.where(U.is_listed(shared, n, parts, F.col("key"), False)).collect()]
+    assert sorted(found) == sorted(listed)
     if listed_share == 0.1 and max_bytes > 64:
         assert len(cascades[0]) >= 3  # levels for both kinds of mistakes
         bits = sum(size for size, _, _ in cascades[0])
@@ -62,3 +65,32 @@ def test_judged(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert U.judged(empty, U.default_list(spark)).count() == 0
     assert {r["verdict"] for r in U.judged(pages, U.default_list(spark).limit(0), rules=[]).collect()} == {"allow"}
+
+
+@pytest.mark.parametrize("max_bytes", [U.MAX_BYTES, 8])
+def test_long_hosts_and_long_lists(spark, max_bytes):
+    """A host of 100,000 labels, and a list cut into many cascades, of which one is broadcast at a time."""
+    names = [f"bad{i}.example.net" for i in range(40)]
+    listed = spark.createDataFrame([(n,) for n in names] + [("deep.example",), (None,)], "key string")
+    long = ".".join(f"l{i}" for i in range(100_000))
+    urls = [f"http://{long}.deep.example/x", f"http://{long}.other.example/x", None, "", "http://bad7.example.net", "http://sub.bad39.example.net/y"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls * 2)], "page_id long, url string").withColumn("own_host", F.lit(3))
+    got = U.judged(pages, listed, rules=[], max_bytes=max_bytes).orderBy("page_id").collect()
+    assert [r["verdict"] for r in got] == ["block", "allow", "allow", "allow", "block", "block"] * 2
+    assert got[0]["host"] == f"{long}.deep.example" and {r["own_host"] for r in got} == {3}
+
+
+def test_one_cascade_is_held_at_a_time(spark, monkeypatch):
+    sizes, whole = [], spark.sparkContext.broadcast
+    names = spark.createDataFrame([(f"n{i}.example",) for i in range(3000)], "key string")
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sizes.append(value) or whole(value))
+    pages = names.select(F.concat(F.lit("http://"), "key").alias("url"))
+    assert U.judged(pages, names, rules=[], max_bytes=400).where("verdict = 'block'").count() == 3000
+    levels = [v for v in sizes if isinstance(v, list)]
+    assert len(levels) > 5 and all(sum(size for size, _, _ in v) / 8 < 2 * 400 for v in levels)
+
+
+def test_keys_of_a_name():
+    one, two = U.key_hashes("a.b.example"), U.key_hashes("b.example")
+    assert len(one) == 3 * 16 and one[:32] == two and U.key_hashes("ab.example")[16:] != two[16:]
+    assert len(U.key_hashes("")) == 16
