@@ -15,7 +15,7 @@ from tests.test_oracle import _canon
 
 def test_every_operator_is_registered():
     names = [n for n in E.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14))
     assert "pipeline" in names and set(queries.ORACLES) <= set(names)
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
@@ -23,7 +23,7 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF01}/{table}.parquet')")
     df = queries.QUERIES[name](spark, SF01)
     cur = con.execute(queries.ORACLES[name])
