@@ -43,7 +43,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its SentencePiece ids; ``round_trip`` tells that they decode to its text."""
-    return sentencepiece_codec.encode(docs, decoded=True).drop("decoded")
+    return sentencepiece_codec.encode(docs, decoded=True, keep=False).drop("decoded")
 
 
 STAGES = [

@@ -162,7 +162,12 @@ def _parts(texts: pa.Array, limit: int = PART_CHARS) -> Iterator[list[str | None
 
 
 def encode(
-    docs: DataFrame, model_path: str = MODEL_PATH, text_col: str = "text", threads: int = THREADS, decoded: bool = False
+    docs: DataFrame,
+    model_path: str = MODEL_PATH,
+    text_col: str = "text",
+    threads: int = THREADS,
+    decoded: bool = False,
+    keep: bool = True,
 ) -> DataFrame:
     """``docs`` with ``token_ids``, ``n_tokens``, ``parity`` (the sentencepiece library gives the whole text the
     same ids) and, if asked for, ``decoded`` (the ids turned back into text) and ``round_trip`` (it equals the text).
@@ -170,8 +175,10 @@ def encode(
     A null text has no ids, and null as ``decoded``; an empty one has none
     either.  Repeated rows get the same ids; an empty table gives an empty
     one.  A text of any length is one row of ids; a task holds about two
-    million characters of texts, or one longer text.  Columns of ``docs`` with
-    these names are replaced.
+    million characters of texts, or one longer text.  With ``keep`` a worker
+    process keeps the model and its segments from task to task; without, it
+    gives their memory back for other stages.  Columns of ``docs`` with these
+    names are replaced.
     """
     with open(model_path, "rb") as f:
         data = f.read()
@@ -181,7 +188,7 @@ def encode(
 
     @F.arrow_udf(f"struct<{fields}>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = kept_by_worker(name, lambda: Codec(shared.value, threads))
+        codec = kept_by_worker(name, lambda: Codec(shared.value, threads)) if keep else Codec(shared.value, threads)
         for texts in batches:
             # Several small results for a batch: a batch of long texts would make a large one.
             for part in _parts(texts):
