@@ -59,12 +59,16 @@ def fit(rows: list[tuple[np.ndarray, int]], p: FTRL) -> dict[int, float]:
 
     for _ in range(p.epochs):
         for buckets, label in rows:
-            zi, ni = z[buckets], n[buckets]
-            w = weights(zi, ni)
+            zi = z[buckets]
+            live = np.abs(zi) > p.l1
+            own = buckets[live]  # the others weigh nothing: only their sums change
+            ni = n[own]
+            w = weights(zi[live], ni)
             bias = -bias_z / ((p.beta + np.sqrt(bias_n)) / p.alpha)
             g = 1.0 / (1.0 + np.exp(-min(max(w.sum() + bias, -35.0), 35.0))) - label
-            z[buckets] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / p.alpha * w
-            n[buckets] = ni + g * g
+            z[buckets] = zi + g
+            z[own] -= (np.sqrt(ni + g * g) - np.sqrt(ni)) / p.alpha * w
+            n[buckets] += g * g
             bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / p.alpha * bias
             bias_n += g * g
     w = weights(z, n)
@@ -94,13 +98,24 @@ def sampled(
     return texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
 
 
-def train(sample: DataFrame, features: Callable[[str], np.ndarray], p: FTRL) -> Model:
-    """A model of the sample's ``label`` from the buckets that ``features`` gives for ``text``."""
+def featured(sample: DataFrame, features: Callable[[str], np.ndarray]) -> DataFrame:
+    """``(id, label, features)``: the sample with the buckets that ``features`` gives for ``text``."""
 
     @F.pandas_udf("array<int>")
     def buckets(text: pd.Series) -> pd.Series:
         return text.map(features)
 
+    return sample.select("id", "label", buckets("text").alias("features"))
+
+
+def train(sample: DataFrame, features: Callable[[str], np.ndarray], p: FTRL) -> Model:
+    """A model of the sample's ``label`` from the buckets that ``features`` gives for ``text``."""
+    return train_featured(featured(sample, features), p)
+
+
+def train_featured(rows: DataFrame, p: FTRL) -> Model:
+    """A model of ``rows(id, label, features)``."""
+
     def learn(batches):
         rows, held = [], 0
         for b in batches:
@@ -113,7 +128,6 @@ def train(sample: DataFrame, features: Callable[[str], np.ndarray], p: FTRL) ->
         found = fit(rows, p) if rows else {}
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(list(found), pa.int64()), "weight": list(found.values())})
 
-    rows = sample.select("id", "label", buckets("text").alias("features"))
     # One task over a sample of bounded size: the updates are sequential.
     ordered = rows.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id")
     found = ordered.mapInArrow(learn, "bucket bigint, weight double").toArrow()
@@ -123,19 +137,43 @@ def train(sample: DataFrame, features: Callable[[str], np.ndarray], p: FTRL) ->
     return model
 
 
-def scorer(docs: DataFrame, model: Model, features: Callable[[str], np.ndarray]) -> Callable[[str], Column]:
-    """A function from a text column's name to its score, with the sparse model broadcast."""
+def _shared(df: DataFrame, model: Model) -> Callable[[], Model]:
+    """What gives the model in a task, from its non-zero weights."""
     kept = np.flatnonzero(model.weights)
-    compact = (kept, model.weights[kept], model.bias, len(model.weights))
-    shared = docs.sparkSession.sparkContext.broadcast(compact)
+    shared = df.sparkSession.sparkContext.broadcast((kept, model.weights[kept], model.bias, len(model.weights)))
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def whole() -> Model:
         at, weights, bias, size = shared.value
         dense = np.zeros(size, dtype=np.float32)
         dense[at] = weights
-        whole = Model(dense, bias)
+        return Model(dense, bias)
+
+    return whole
+
+
+def scorer(docs: DataFrame, model: Model, features: Callable[[str], np.ndarray]) -> Callable[[str], Column]:
+    """A function from a text column's name to its score, with the sparse model broadcast."""
+    of = _shared(docs, model)
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        whole = of()
         for texts in batches:
             yield pd.Series([whole.score(features(t or "")) for t in texts], dtype="float64")
 
     return lambda text_col: score(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def log_loss(rows: DataFrame, model: Model) -> float:
+    """The mean of what the model's scores miss on ``rows(label, features)``; 0 for no rows."""
+    of = _shared(rows, model)
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        whole = of()
+        for lists in batches:
+            yield pd.Series([whole.score(np.asarray(b, dtype=np.int32)) for b in lists], dtype="float64")
+
+    scored = rows.select("label", score("features").alias("score"))
+    right = F.greatest(F.when(F.col("label") == 1, F.col("score")).otherwise(1 - F.col("score")), F.lit(1e-9))
+    return scored.agg(F.mean(-F.log(right))).first()[0] or 0.0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import numpy as np
@@ -39,13 +40,6 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(id_remainder(id_col, 5) == 0, F.lit(False))
 
 
-def log_loss(sample: DataFrame, model: ftrl.Model) -> float:
-    """The mean of what the model's scores miss on ``sample(text, label)``; 0 for an empty one."""
-    scored = sample.select("label", ftrl.scorer(sample, model, features)("text").alias("score"))
-    right = F.greatest(F.when(F.col("label") == 1, F.col("score")).otherwise(1 - F.col("score")), F.lit(1e-9))
-    return scored.agg(F.mean(-F.log(right))).first()[0] or 0.0
-
-
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> ftrl.Model:
     """A model of the labels of documents that are not held out.
 
@@ -55,11 +49,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     (the stronger one of equals); the model is then fitted on all of it.
     """
     sample = ftrl.sampled(docs, labels, "toxic", id_col, text_col, ~held_out(id_col), MAX_TRAINING_ROWS)
-    sample = stored(sample, "toxicity-sample")  # read once for each term; at most MAX_TRAINING_ROWS texts
+    # Read once for each term; at most MAX_TRAINING_ROWS rows and, in training, ftrl.MAX_FEATURES features.
+    rows = stored(ftrl.featured(sample, features), "toxicity-features")
     judges = F.pmod(F.xxhash64(F.lit("judge"), "id"), F.lit(JUDGES)) == 0
-    judging, fitting = sample.where(judges), sample.where(~judges)
-    lost = [(log_loss(judging, ftrl.train(fitting, features, replace(PARAMS, l1=l1))), -l1) for l1 in L1]
-    return ftrl.train(sample, features, replace(PARAMS, l1=-min(lost)[1]))
+    judging, fitting = rows.where(judges), rows.where(~judges)
+
+    def lost(l1: float) -> float:
+        return ftrl.log_loss(judging, ftrl.train_featured(fitting, replace(PARAMS, l1=l1)))
+
+    with ThreadPoolExecutor(len(L1)) as pool:  # one sequential task for each term: side by side
+        chosen = min(zip(pool.map(lost, L1), (-l1 for l1 in L1)))
+    return ftrl.train_featured(rows, replace(PARAMS, l1=-chosen[1]))
 
 
 def score(docs: DataFrame, model: ftrl.Model, text_col: str = "text", into: str = "score") -> DataFrame:
