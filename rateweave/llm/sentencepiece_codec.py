@@ -3,7 +3,8 @@
 The driver reads the model file, rebuilds it (``sentencepiece_model``) and
 broadcasts the pipeline, about a few MB.  Tasks cut each text in front of its
 runs of spaces, where the model allows that, and encode the segments not seen
-before as one multithreaded batch; the ids are those of the rebuilt pipeline.
+before as one multithreaded batch, many in one string where their ids can be
+told apart again; the ids are those of the rebuilt pipeline.
 Parity is verified, not assumed: every distinct whole text of a batch is also
 encoded by the sentencepiece library, and a row whose ids differ is marked.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rateweave.llm._common import free_name
 from rateweave.llm._memo import Index, Lists, flat_lists, kept_by_worker, segment_hashes
-from rateweave.llm.sentencepiece_model import CONTROL, SPACE, build_tokenizer, parse_model, spaces_only_lead, surfaces
+from rateweave.llm.sentencepiece_model import CONTROL, SPACE, USER_DEFINED, build_tokenizer, parse_model, spaces_only_lead, surfaces
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Threads of one task's batch; a cluster sets as many as spark.task.cpus.
@@ -32,6 +33,8 @@ THREADS = 2
 REMEMBERED = 600_000
 #: Segments that are given to the libraries at once, and characters of text that are turned into one result.
 LEARNT, PART_CHARS = 20_000, 1_000_000
+#: Segments in one string: one result of the library in place of as many.
+JOINED = 1_000
 
 
 class Codec:
@@ -43,13 +46,14 @@ class Codec:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        data, rebuilt, self.surfaces, self.hidden, self.unknown, self.prefix, self.squeezes, self.cut = spec
+        data, rebuilt, self.surfaces, self.hidden, self.unknown, self.prefix, self.squeezes, self.cut, self.joins = spec
         self.strips = self.prefix or self.squeezes
         self.threads = threads
         self.tokenizer = Tokenizer.from_str(rebuilt)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         # A space that stands alone is the dummy prefix of nothing: the marker's own piece.
         self.alone = [self.tokenizer.token_to_id(SPACE)] if self.prefix and self.cut else []
+        self.widths = np.array([len(s) for s in self.surfaces], dtype=np.int64)
         self._forget()
 
     def _forget(self) -> None:
@@ -57,9 +61,34 @@ class Codec:
 
     def _learn(self, parts: list[str]) -> None:
         for start in range(0, len(parts), LEARNT):
-            given = [p[1:] if self.prefix else p for p in parts[start : start + LEARNT]]
-            coded = self.tokenizer.encode_batch_fast(given, add_special_tokens=False)
-            self.ids.append(*flat_lists([c.ids if g else self.alone for g, c in zip(given, coded)], np.int32))
+            chunk = parts[start : start + LEARNT]
+            groups = [chunk[k : k + JOINED] for k in range(0, len(chunk), JOINED)]
+            # In a string, spaces alone would lead the next segment.
+            joint = [self.joins and all(p[0] == " " != p[-1] for p in g) for g in groups]
+            strings = ["".join(g)[1:] for g, j in zip(groups, joint) if j]
+            coded = iter(self.tokenizer.encode_batch_fast(strings, add_special_tokens=False))
+            for group, j in zip(groups, joint):
+                found = self._parted(group, np.array(next(coded).ids, dtype=np.int32)) if j else None
+                self.ids.append(*(found or self._singly(group)))
+
+    def _singly(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The segments' ids in a row, and how many each has."""
+        given = [p[1:] if self.prefix else p for p in parts]
+        coded = self.tokenizer.encode_batch_fast(given, add_special_tokens=False)
+        return flat_lists([c.ids if g else self.alone for g, c in zip(given, coded)], np.int32)
+
+    def _parted(self, parts: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of segments in one string, and how many each has; None if the surfaces don't tell.
+
+        Without the unknown piece a surface is never longer than what it was
+        found in, so if all are as long as the string, each has its true length.
+        """
+        ends = np.cumsum([len(p.encode()) for p in parts])
+        reached = np.cumsum(self.widths[ids])
+        if not len(ids) or reached[-1] != ends[-1] or (ids == self.unknown).any():
+            return None
+        last = np.searchsorted(reached, ends)
+        return (ids, np.diff(last, prepend=-1)) if np.array_equal(reached[last], ends) else None
 
     def cuts(self, space: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Where segments begin: at the first space of each run, and where a text does."""
@@ -132,7 +161,10 @@ def prepared(data: bytes) -> tuple:
     hidden = {i for i, (_, _, kind) in enumerate(model.pieces) if kind == CONTROL}
     cut = plain and spaces_only_lead(model)
     rebuilt = build_tokenizer(model)
-    return data, rebuilt.to_str(), surfaces(model), hidden, model.unk_id, model.add_dummy_prefix, model.remove_extra_whitespaces, cut
+    # Unknown characters have no length of their own, and user-defined pieces part a string into several with a dummy prefix each.
+    joins = cut and model.add_dummy_prefix and model.byte_fallback and not any(kind == USER_DEFINED for *_, kind in model.pieces)
+    flags = model.add_dummy_prefix, model.remove_extra_whitespaces, cut, joins
+    return data, rebuilt.to_str(), surfaces(model), hidden, model.unk_id, *flags
 
 
 def _packed(ids: list[int]) -> bytes:

@@ -175,3 +175,40 @@ def test_segments_are_learnt_in_chunks(monkeypatch):
     codec, theirs = C.Codec(C.prepared(public_model())), sentencepiece.SentencePieceProcessor(model_proto=public_model())
     texts = [" ".join(f"w{i}" for i in range(20)), "w3 again"]
     assert [list(C.unpacked(i)) for i in codec.encode(texts)] == theirs.encode(texts)
+
+
+class Counting:
+    """A tokenizer that counts the strings it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", ["bpe", "unigram", "unigram without bytes"])
+def test_new_segments_share_strings(name, monkeypatch):
+    """A string of the library holds many new segments, and each gets the ids it has alone."""
+    monkeypatch.setattr(C, "JOINED", 100)
+    spec = C.prepared(models()[name])
+    codec, single = C.Codec(spec), C.Codec(spec)
+    codec.tokenizer, single.joins = Counting(codec.tokenizer), False
+    plain = [" ".join(f"w{i}é日 🎉{i}\nx\x00" for i in range(k, k + 200)) for k in range(0, 2000, 200)]
+    assert codec.encode(plain) == single.encode(plain)
+    assert (codec.tokenizer.given < 100) == (name != "unigram without bytes") and single.segments.size == 4000
+    odd = ODD + ["<0x41> <unk> a", "ends  ", "   ", "b", " ⁇  ⁇ c", "▁ ▁"]
+    assert codec.encode(odd) == single.encode(odd)
+
+
+def test_surfaces_that_do_not_tell_are_not_used():
+    """Ids that don't fill the segments, or cross them, or hold the unknown piece, are not shared out."""
+    codec = C.Codec(C.prepared(public_model()))
+    ids = lambda text: np.array(codec.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+    flat, sizes = codec._parted([" the", " end"], ids("the end"))
+    assert flat.tolist() == ids("the end").tolist() and sizes.tolist() == [len(ids("the")), len(ids("end"))]
+    assert codec._parted([" the", " end"], ids("the ends")) is None
+    assert codec._parted([" t", "he"], ids("the")) is None
+    assert codec._parted([" the", " end"], np.append(ids("the"), codec.unknown).astype(np.int32)) is None
+    assert codec._parted([" the"], ids("")) is None
